@@ -1,0 +1,5 @@
+"""Batch only: the feature set this engine covers has no stream source, watermark or stateful operator.
+
+Late and repeated data are handled by the idempotent loads (`ratescope.sinks.tables`) and the refresh
+decision (`ratescope.plans.manifest`).
+"""
