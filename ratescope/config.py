@@ -19,8 +19,10 @@ class PipelineConfig:
     min_plausible_rate: float = 1
     # A group with more rows than this is never handed to one aggregation buffer.
     hot_group_rows: int = 2_000_000
-    # Lookup tables above this many rows are not compiled into expressions or broadcast by hint.
+    # Rule and code lists up to this many rows are compiled into expressions, longer ones are joined.
     max_inline_rows: int = 1_000
+    # Lookup tables are counted, and broadcast by hint only up to this many (short) rows.
+    max_broadcast_rows: int = 100_000
 
 
 @dataclass(frozen=True)

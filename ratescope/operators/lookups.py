@@ -18,6 +18,15 @@ def small_rows(df: DataFrame, limit: int) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
+def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
+    """Hint a broadcast after counting at most ``limit`` + 1 rows; a larger table stays a plain join side.
+
+    Catalyst knows the size of files but not of rows made by the driver, so without the count a
+    lookup of ten rows would be sort-merge joined and the large side shuffled on a skewed key.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Equality on ``keys`` where NULL equals NULL; plans as an equi-join."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
@@ -27,7 +36,7 @@ def label_procedures(coded: DataFrame, procedure_codes: DataFrame, cfg: Pipeline
     """Add procedure_label by exact code and case-insensitive type; apply type filter and scope.
 
     The type filter runs before the join, and in featured scope the join is inner, so unlabelled
-    codes leave before any reshape. No broadcast hint: Catalyst broadcasts the table by its own size.
+    codes leave before any reshape.
     """
     labels = procedure_codes.select(
         F.col("code").alias("_label_code"), F.upper("code_type").alias("_label_type"), "procedure_label"
@@ -36,6 +45,7 @@ def label_procedures(coded: DataFrame, procedure_codes: DataFrame, cfg: Pipeline
         labels, how = labels.filter(F.col("procedure_label").isNotNull()), "inner"
     else:
         how = "left"
+    labels = broadcast_if_small(labels, cfg.max_broadcast_rows)
     kept = coded.filter(in_code_types(F.col("code_type"), cfg.silver_code_types))
     on = (kept["code"] == labels["_label_code"]) & (F.upper(kept["code_type"]) == labels["_label_type"])
     return kept.join(labels, on, how).drop("_label_code", "_label_type")
@@ -55,3 +65,16 @@ def mentioning_codes(items: DataFrame, text: str, procedure_codes: DataFrame, cf
         return items.filter(F.lit(False))
     tests = [F.instr(items[text], f'"{r["code"]}"') > 0 for r in sorted(rows)]
     return items.filter(reduce(lambda a, b: a | b, tests))
+
+
+def with_any_code(df: DataFrame, codes: str, procedure_codes: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Keep rows whose code array holds a labelled code: a cheap pre-filter before a wide reshape.
+
+    A list too long to inline is left to the label join, which removes the same rows later.
+    """
+    labelled = procedure_codes.filter(F.col("procedure_label").isNotNull()).select("code").distinct()
+    rows = small_rows(labelled, cfg.max_inline_rows)
+    if rows is None:
+        return df
+    wanted = [r["code"] for r in rows if r["code"] is not None]
+    return df.filter(F.exists(codes, lambda c: c["code"].isin(wanted)))

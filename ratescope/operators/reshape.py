@@ -17,6 +17,7 @@ WIDE_SUFFIXES = {
     "|negotiated_algorithm": "algorithm_raw",
     "|methodology": "methodology_raw",
 }
+RATE_FIELDS = ("dollar_raw", "percentage_raw", "algorithm_raw")
 WIDE_OUTPUT = ("payer_name", "plan_name", *WIDE_SUFFIXES.values())
 
 
@@ -28,16 +29,19 @@ def code_slots(slots: Sequence[int]) -> Column:
     return F.filter(pairs, lambda p: text_or_null(p["code"]).isNotNull())
 
 
+def explode_codes(df: DataFrame, codes: str) -> DataFrame:
+    """One row per entry of an array<struct<code,type>> column, as code and upper-cased code_type."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c != codes]
+    exploded = df.select(*rest, F.inline(codes).alias("code", "code_type"))
+    return exploded.withColumn("code_type", F.upper("code_type"))
+
+
 def explode_code_slots(df: DataFrame, slots: Sequence[int]) -> DataFrame:
     """One row per non-blank code slot, with code, code_type and item_codes, from a single scan."""
-    codes = code_slots(slots)
-    return (
-        df.withColumn("item_codes", joined_codes(codes))
-        .withColumn("_code", F.explode(codes))
-        .withColumn("code", F.col("_code.code"))
-        .withColumn("code_type", F.upper("_code.type"))
-        .drop("_code")
-    )
+    used = {n for i in slots for n in (f"code|{i}", f"code|{i}|type")}
+    rest = [quoted(c) for c in df.columns if c not in used]
+    codes = df.select(*rest, code_slots(slots).alias("_codes"))
+    return explode_codes(codes.withColumn("item_codes", joined_codes(F.col("_codes"))), "_codes")
 
 
 def wide_groups(columns: Sequence[str]) -> dict[tuple[str, str], dict[str, str]]:
@@ -56,8 +60,14 @@ def wide_groups(columns: Sequence[str]) -> dict[tuple[str, str], dict[str, str]]
     return groups
 
 
-def unpivot_payers(df: DataFrame, groups: dict[tuple[str, str], dict[str, str]] | None = None) -> DataFrame:
-    """One row per payer and plan column group. No group gives one all-NULL row per input row."""
+def unpivot_payers(
+    df: DataFrame, groups: dict[tuple[str, str], dict[str, str]] | None = None, rated_only: bool = False
+) -> DataFrame:
+    """One row per payer and plan column group. No group gives one all-NULL row per input row.
+
+    ``rated_only`` leaves out groups without a dollar, percentage or algorithm text before rows are
+    made, as most of the hundreds of groups of a row are blank.
+    """
     groups = wide_groups(df.columns) if groups is None else groups
     used = {c for g in groups.values() for c in g.values()}
     keep = [quoted(c) for c in df.columns if c not in used]
@@ -69,8 +79,13 @@ def unpivot_payers(df: DataFrame, groups: dict[tuple[str, str], dict[str, str]]
             (quoted(named[f]) if f in named else F.lit(None).cast("string")).alias(f)
             for f in WIDE_SUFFIXES.values()
         ]
-        entries.append(F.struct(F.lit(payer).alias("payer_name"), F.lit(plan).alias("plan_name"), *raw))
-    return df.select(*keep, F.inline(F.array(*entries)))
+        entry = F.struct(F.lit(payer).alias("payer_name"), F.lit(plan).alias("plan_name"), *raw)
+        if rated_only:
+            rates = [text_or_null(quoted(named[f])) for f in RATE_FIELDS if f in named]
+            entry = F.when(F.coalesce(*rates, F.lit(None)).isNotNull(), entry)
+        entries.append(entry)
+    made = F.array(*entries)
+    return df.select(*keep, F.inline(F.array_compact(made) if rated_only else made))
 
 
 def pivot_headers(headers: DataFrame, names: Sequence[str]) -> DataFrame:

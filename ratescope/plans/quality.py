@@ -242,7 +242,7 @@ def page_contents(spark, paths: Sequence[str]) -> DataFrame:
 
 def head_problem(file_format: Column, head: Column) -> Column:
     """Why the first bytes of a payload are not the expected file type, else NULL."""
-    text = F.decode(head, F.lit("ISO-8859-1"))
+    text = F.decode(head, "ISO-8859-1")
     bare = F.lower(F.regexp_replace(text, "^(ï»¿)?\\s*", ""))
     return (
         F.when(F.length(head) == 0, "empty response body")
@@ -260,7 +260,7 @@ def head_problem(file_format: Column, head: Column) -> Column:
 
 def format_problem(file_format: Column, head: Column) -> Column:
     """Why the start of a landed file does not look like a price file, else NULL."""
-    text = F.lower(F.decode(head, F.lit("ISO-8859-1")))
+    text = F.lower(F.decode(head, "ISO-8859-1"))
     keys = F.contains(text, F.lit("standard_charge_information")) | F.contains(text, F.lit("hospital_name"))
     return (
         F.when((file_format == "zip") & ~text.startswith("pk"), "missing zip file signature")
@@ -274,7 +274,7 @@ def format_problem(file_format: Column, head: Column) -> Column:
 
 def name_in_head(file_format: Column, head: Column) -> Column:
     """hospital_name as the file states it: a JSON field, or the cell under the CSV's metadata name."""
-    text = F.regexp_replace(F.decode(head, F.lit("UTF-8")), "^\ufeff", "")
+    text = F.regexp_replace(F.decode(head, "UTF-8"), "^\ufeff", "")
     in_json = F.nullif(F.regexp_extract(text, '"hospital_name"\\s*:\\s*"([^"]+)"', 1), F.lit(""))
     lines = F.split(text, "\r\n|\n|\r", 3)
     cells = lambda line: F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)

@@ -19,6 +19,7 @@ from ratescope.functions import (
     parse_file_date,
     rate_type,
 )
+from ratescope.operators.lookups import broadcast_if_small
 from ratescope.operators.latest import latest_per_key
 from ratescope.operators.payers import payer_plan_names, with_payer_category
 from ratescope.operators.reshape import pivot_headers
@@ -121,13 +122,15 @@ def negotiated_rates(
     """The silver rate table: exact repeats removed, hospital, file date and payer category added.
 
     The distinct is the only shuffle of the rates. Categories are an expression on the names and the
-    hospital and header tables have one row per file, so Catalyst broadcasts both.
+    hospital and header tables have one row per file and are broadcast after a count.
     """
     rates = reduce(DataFrame.unionByName, staged).distinct()
     rates = with_payer_category(rates, rules, cfg)
     hospital = crosswalk.select("source_key", "hospital_ccn", "hospital_name", "assumed_billing_class")
     dates = headers.select("source_key", F.col("last_updated_on").alias("file_last_updated_on"))
-    joined = rates.join(hospital, "source_key").join(dates, "source_key", "left")
+    joined = rates.join(broadcast_if_small(hospital, cfg.max_broadcast_rows), "source_key").join(
+        broadcast_if_small(dates, cfg.max_broadcast_rows), "source_key", "left"
+    )
     dollar = F.col("negotiated_dollar")
     in_file, assumed = F.col("billing_class"), F.col("assumed_billing_class")
     return joined.select(
