@@ -83,13 +83,19 @@ def match_text(*names: Column) -> Column:
     return F.trim(F.regexp_replace(joined, "[^a-z0-9]+", " "))
 
 
-def joined_codes(codes: Column) -> Column:
-    """Sorted, distinct TYPE:code list of an array<struct<code,type>>, joined by pipes.
+def code_label(kind: Column, code: Column) -> Column:
+    """TYPE:code, NULL when either is NULL."""
+    return F.concat(F.upper(kind), F.lit(":"), code)
+
+
+def joined_labels(labels: Column) -> Column:
+    """Sorted, distinct entries of an array of code labels, joined by pipes; NULLs are left out."""
+    return F.concat_ws("|", F.sort_array(F.array_distinct(labels)))
 
-    A code without a type yields no entry, as NULLs are skipped by concat_ws.
-    """
-    labelled = F.transform(codes, lambda c: F.concat(F.upper(c["type"]), F.lit(":"), c["code"]))
-    return F.concat_ws("|", F.array_sort(F.array_distinct(labelled)))
+
+def joined_codes(codes: Column) -> Column:
+    """item_codes of an array<struct<code,type>>."""
+    return joined_labels(F.transform(codes, lambda c: code_label(c["type"], c["code"])))
 
 
 def parse_file_date(raw: Column) -> Column:

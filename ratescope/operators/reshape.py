@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratescope.functions import joined_codes, quoted, text_or_null
+from ratescope.functions import code_label, joined_labels, quoted, text_or_null
 
 # Column-name parts of the published wide layout.
 WIDE_PREFIX = "standard_charge|"
@@ -23,10 +23,21 @@ WIDE_OUTPUT = ("payer_name", "plan_name", *WIDE_SUFFIXES.values())
 
 def code_slots(slots: Sequence[int]) -> Column:
     """array<struct<code,type>> of the numbered code columns whose code is not blank."""
-    pairs = F.array(*[
-        F.struct(quoted(f"code|{i}").alias("code"), quoted(f"code|{i}|type").alias("type")) for i in slots
-    ])
-    return F.filter(pairs, lambda p: text_or_null(p["code"]).isNotNull())
+    return F.array_compact(F.array(*[
+        F.when(_filled(i), F.struct(quoted(f"code|{i}").alias("code"), quoted(f"code|{i}|type").alias("type")))
+        for i in slots
+    ]))
+
+
+def slot_item_codes(slots: Sequence[int]) -> Column:
+    """item_codes of the numbered code columns."""
+    return joined_labels(F.array(*[
+        F.when(_filled(i), code_label(quoted(f"code|{i}|type"), quoted(f"code|{i}"))) for i in slots
+    ]))
+
+
+def _filled(slot: int) -> Column:
+    return text_or_null(quoted(f"code|{slot}")).isNotNull()
 
 
 def explode_codes(df: DataFrame, codes: str) -> DataFrame:
@@ -40,8 +51,8 @@ def explode_code_slots(df: DataFrame, slots: Sequence[int]) -> DataFrame:
     """One row per non-blank code slot, with code, code_type and item_codes, from a single scan."""
     used = {n for i in slots for n in (f"code|{i}", f"code|{i}|type")}
     rest = [quoted(c) for c in df.columns if c not in used]
-    codes = df.select(*rest, code_slots(slots).alias("_codes"))
-    return explode_codes(codes.withColumn("item_codes", joined_codes(F.col("_codes"))), "_codes")
+    coded = df.select(*rest, slot_item_codes(slots).alias("item_codes"), code_slots(slots).alias("_codes"))
+    return explode_codes(coded, "_codes")
 
 
 def wide_groups(columns: Sequence[str]) -> dict[tuple[str, str], dict[str, str]]:

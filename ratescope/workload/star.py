@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescope.config import PipelineConfig
-from ratescope.functions import joined_codes
+from ratescope.functions import code_label, joined_labels
 from ratescope.plans import silver
 from ratescope.schemas import PAYER_RULES, STAGED_RATE_COLUMNS
 from ratescope.sinks.scratch import write_stage
@@ -88,15 +88,12 @@ def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as a canonical staged rate row."""
     quantity, line = F.col("l_quantity"), F.col("l_linenumber")
     kind = F.upper(code_type(F.col("p_size")))
-    codes = F.array(
-        F.struct(F.col("p_type").alias("code"), kind.alias("type")),
-        F.struct(F.col("p_brand").alias("code"), F.lit("cdm").alias("type")),
-        F.struct(F.col("p_type").alias("code"), kind.alias("type")),
-    )
+    own = code_label(kind, F.col("p_type"))
+    labels = F.array(own, code_label(F.lit("cdm"), F.col("p_brand")), own)
     return joined_lines(spark, sf_dir).select(
         F.col("n_name").alias("source_key"),
         F.col("p_name").alias("item_description"),
-        joined_codes(codes).alias("item_codes"),
+        joined_labels(labels).alias("item_codes"),
         F.when(line > 5, F.lit("52")).alias("modifiers"),
         F.col("p_type").alias("code"),
         kind.alias("code_type"),
