@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ratescope.config import PipelineConfig
 from ratescope.functions import in_code_types
 
+_MAX_SUBSTRING_TESTS = 16
+
 
 def small_rows(df: DataFrame, limit: int) -> list[Row] | None:
     """The rows of a lookup table if it holds at most ``limit`` of them, else None."""
@@ -54,7 +56,8 @@ def label_procedures(coded: DataFrame, procedure_codes: DataFrame, cfg: Pipeline
 def mentioning_codes(items: DataFrame, text: str, procedure_codes: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Keep items whose text holds any procedure code in double quotes, before the text is parsed.
 
-    Short code lists become one narrow filter. Longer lists are a left semi join on the same test.
+    A few codes become substring tests. For more codes the text is cut at its quotes once, and its inner
+    pieces are compared with the list. Lists too long to inline are a left semi join on the same test.
     """
     codes = procedure_codes.select("code").filter(F.col("code").isNotNull()).distinct()
     rows = small_rows(codes, cfg.max_inline_rows)
@@ -63,7 +66,12 @@ def mentioning_codes(items: DataFrame, text: str, procedure_codes: DataFrame, cf
         return items.join(codes, F.instr(items[text], needle) > 0, "left_semi")
     if not rows:
         return items.filter(F.lit(False))
-    tests = [F.instr(items[text], f'"{r["code"]}"') > 0 for r in sorted(rows)]
+    wanted = sorted(r["code"] for r in rows)
+    if len(wanted) > _MAX_SUBSTRING_TESTS and not any('"' in w for w in wanted):
+        pieces = F.split(text, '"', -1)
+        inner = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0)))
+        return items.filter(F.arrays_overlap(inner, F.array(*[F.lit(w) for w in wanted])))
+    tests = [F.instr(items[text], f'"{w}"') > 0 for w in wanted]
     return items.filter(reduce(lambda a, b: a | b, tests))
 
 

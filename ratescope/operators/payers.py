@@ -39,8 +39,9 @@ def with_payer_category(
         )
         hit = F.col("_rule")
     else:
-        joined = df
-        hit = first_matching_rule(match_text(F.col(payer), F.col(plan)), rows)
+        # The text is its own projection, so it is made once and not in every branch of the CASE.
+        joined = df.withColumn("_text", match_text(F.col(payer), F.col(plan)))
+        hit = first_matching_rule(F.col("_text"), rows)
     return joined.withColumn("_rule", hit).select(
         *[joined[c] for c in df.columns],
         F.coalesce(F.col("_rule.category"), F.lit(DEFAULT_PAYER_CATEGORY)).alias("payer_category"),

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from ratescope.workload.expected import EXPECTED
 from ratescope.workload.oracle import (
+    BY_CATEGORY_FROM_RATES_CTE,
     KIND,
     LINES_CTE,
+    PAYERS_CTE,
     PROCEDURES_CTE,
     RATES_CTE,
+    RATES_FROM_STAGED_CTE,
     VARIATION_CTE,
 )
 
@@ -61,17 +64,20 @@ _ODD_DESCRIPTION = (
 )
 
 
-def _json_rates(featured: bool) -> str:
-    join = "JOIN" if featured else "LEFT JOIN"
-    mentioned = " AND l.p_type IN ('SMALL', 'LARGE', 'PROMO') AND pc.procedure_label IS NOT NULL" if featured else ""
-    charge = """
+_JSON_CHARGES = """
+charges AS (
   SELECT *, l_returnflag AS setting, l_linestatus AS billing_class, round(l_extendedprice, 6) AS gross_charge,
     round(l_tax, 6) AS min_charge FROM lines
   UNION ALL
-  SELECT *, 'no payers', NULL, NULL, NULL FROM lines WHERE l_linenumber = 1"""
-    return f"""WITH {LINES_CTE}, {PROCEDURES_CTE},
-charges AS ({charge})
-SELECT 'json' AS source_key, p_name AS item_description, {_CODES_2} AS item_codes, CAST(NULL AS VARCHAR) AS modifiers,
+  SELECT *, 'no payers', NULL, NULL, NULL FROM lines WHERE l_linenumber = 1
+)"""
+
+
+def _json_rates(featured: bool) -> str:
+    join = "JOIN" if featured else "LEFT JOIN"
+    mentioned = " AND l.p_type IN ('SMALL', 'LARGE', 'PROMO') AND pc.procedure_label IS NOT NULL" if featured else ""
+    return f"""SELECT 'json' AS source_key, p_name AS item_description, {_CODES_2} AS item_codes,
+  CAST(NULL AS VARCHAR) AS modifiers,
   p_type AS code, {KIND} AS code_type, pc.procedure_label, setting, billing_class, c_mktsegment AS payer_name,
   {_PLAN} AS plan_name, CASE WHEN l_quantity >= 5 THEN round(l_extendedprice, 6) END AS negotiated_dollar,
   CASE WHEN l_quantity = 3 THEN round(l_discount, 6) END AS negotiated_percentage,
@@ -82,6 +88,34 @@ FROM charges l {join} procedure_codes pc ON l.p_type = pc.code AND {KIND} = uppe
 WHERE l.p_size % 11 > 0 AND {KIND} IN {_TYPES}{mentioned}"""
 
 
+_TALL = _csv_rates("tall", _ODD_DESCRIPTION, _CODES_4, "l_linestatus", "c_mktsegment", _PLAN, "'fee schedule'")
+_WIDE = _csv_rates(
+    "wide", "p_name", _CODES_4, "l_linestatus", "c_mktsegment || '''s'",
+    "CASE WHEN c_custkey % 7 = 6 THEN 'plan|6' ELSE 'plan ' || CAST(c_custkey % 7 AS VARCHAR) END",
+    "CASE WHEN c_mktsegment <> 'BUILDING' THEN 'case rate' END",
+)
+_JSON_WITH = f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_JSON_CHARGES} "
+
+# The three layouts as one rates table: one hospital per layout.
+_FROM_FILES = f"""WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, {_labelled('l_quantity >= 2', False)}, {_JSON_CHARGES},
+tall AS ({_TALL}),
+wide AS ({_WIDE}),
+nested AS ({_json_rates(False)}),
+staged AS (
+  SELECT DISTINCT * REPLACE (lower(setting) AS setting) RENAME (billing_class AS billing_class_in_file)
+  FROM (SELECT * FROM tall UNION ALL BY NAME SELECT * FROM wide UNION ALL BY NAME SELECT * FROM nested)
+),
+headers AS (SELECT unnest(['tall', 'wide', 'json']) AS source_key, DATE '2025-10-01' AS last_updated_on),
+crosswalk AS (
+  SELECT * FROM (VALUES ('tall', '000001', 'Tall', 'facility'), ('wide', '000002', 'Wide', NULL), ('json', '000003', 'Json', NULL))
+    t(source_key, hospital_ccn, hospital_name, assumed_billing_class)
+),
+{PAYERS_CTE},
+{RATES_FROM_STAGED_CTE},
+{BY_CATEGORY_FROM_RATES_CTE}
+SELECT * REPLACE (round(min_rate, 6) AS min_rate, round(p25_rate, 6) AS p25_rate, round(median_rate, 6) AS median_rate,
+  round(p75_rate, 6) AS p75_rate, round(max_rate, 6) AS max_rate) FROM by_category"""
+
 _LOG_CTE = """
 log AS (
   SELECT event_id, 'run-' || CAST(event_id // 200 AS VARCHAR) AS run_id, 'key-' || CAST(user_id AS VARCHAR) AS dataset_key,
@@ -201,19 +235,16 @@ SELECT page_id, CASE
 FROM parts"""
 
 EXPECTED.update({
-    "tall_csv_rates": f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, {_labelled('l_quantity >= 2', False)} "
-    + _csv_rates("tall", _ODD_DESCRIPTION, _CODES_4, "l_linestatus", "c_mktsegment", _PLAN, "'fee schedule'"),
+    "tall_csv_rates": f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, {_labelled('l_quantity >= 2', False)} {_TALL}",
     "tall_csv_featured_rates": f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, "
     f"{_labelled('l_quantity >= 2 AND slot <= 2', True)} "
     + _csv_rates("tall", "p_name", _CODES_2, "CAST(NULL AS VARCHAR)", "c_mktsegment", _PLAN, "'fee schedule'"),
-    "wide_csv_rates": f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, {_labelled('l_quantity >= 2', False)} "
-    + _csv_rates(
-        "wide", "p_name", _CODES_4, "l_linestatus", "c_mktsegment || '''s'",
-        "CASE WHEN c_custkey % 7 = 6 THEN 'plan|6' ELSE 'plan ' || CAST(c_custkey % 7 AS VARCHAR) END",
-        "CASE WHEN c_mktsegment <> 'BUILDING' THEN 'case rate' END",
-    ),
-    "json_rates": _json_rates(False),
-    "json_featured_rates": _json_rates(True),
+    "wide_csv_rates": f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, {_labelled('l_quantity >= 2', False)} {_WIDE}",
+    "json_rates": _JSON_WITH + _json_rates(False),
+    "json_featured_rates": _JSON_WITH + _json_rates(True),
+    "rates_from_files": _FROM_FILES,
+    "bronze_load": """SELECT c_custkey, c_name AS facility_name, round(c_acctbal, 6) AS c_acctbal, 'run-b' AS run_id,
+  TRUE AS has_lineage FROM customer""",
     "price_csv_records": """SELECT 'rows' AS kind, count(*) AS n FROM lineitem
 UNION ALL SELECT 'records', count(*) FROM lineitem""",
     "csv_and_json_headers": """SELECT * FROM (VALUES

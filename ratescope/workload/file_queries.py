@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescope import functions as fn
+from ratescope.config import PageSetSpec
 from ratescope.operators import lookups, reshape
-from ratescope.plans import manifest, quality, staging
-from ratescope.schemas import PRICE_ITEM
+from ratescope.plans import build, gold, manifest, quality, silver, staging
+from ratescope.plans.build import Schemas
+from ratescope.schemas import CROSSWALK, PRICE_ITEM
+from ratescope.sinks import tables
+from ratescope.sinks.scratch import scratch_path
 from ratescope.sources.pages import read_pages
 from ratescope.sources.price_csv import price_csv_header, read_price_csv
 from ratescope.sources.price_json import price_json_headers, price_json_items
@@ -66,6 +72,59 @@ def json_featured_rates(spark, sf_dir):
     return rounded(staged.drop(*_FILE_COLUMNS))
 
 
+@query
+def rates_from_files(spark, sf_dir):
+    """Tall, wide and JSON files of all lines, one hospital each, to statistics by payer category."""
+    codes = star.procedures(spark)
+    tall_paths, wide_paths = files.tall_csv(spark, sf_dir, 4), files.wide_csv(spark, sf_dir)
+    json_paths = files.price_json(spark, sf_dir)
+
+    def as_one_file(bronze: DataFrame, name: str) -> DataFrame:
+        return _with_run(bronze).withColumn("_source_file", F.lit(name))
+
+    tall = as_one_file(read_price_csv(spark, tall_paths)[1], "tall.csv")
+    wide = as_one_file(read_price_csv(spark, wide_paths)[1], "wide.csv")
+    nested = as_one_file(price_json_items(spark, json_paths), "prices.json")
+    staged = [
+        staging.stage_tall_csv(tall, codes, "tall", (1, 2, 3, 4), True, CONFIG),
+        staging.stage_wide_csv(wide, codes, "wide", (1, 2, 3, 4), CONFIG),
+        staging.stage_json_items(nested, codes, "json", CONFIG),
+    ]
+    crosswalk = spark.createDataFrame(
+        [("tall", "000001", "Tall", "facility"), ("wide", "000002", "Wide", None), ("json", "000003", "Json", " ")], CROSSWALK
+    )
+    headers = silver.tagged_union({
+        "tall": price_csv_header(spark, tall_paths[0]), "wide": price_csv_header(spark, wide_paths[0]),
+        "json": price_json_headers(spark, json_paths[:1]),
+    })
+    rates = star.once(spark, sf_dir, "rates-from-files", lambda: silver.negotiated_rates(
+        staged, crosswalk, silver.price_file_headers(headers), star.rules(spark), CONFIG
+    ))
+    return rounded(gold.price_by_payer_category(rates, CONFIG))
+
+
+@query
+def bronze_load(spark, sf_dir):
+    """A load log and a bronze table in the catalog: appended, loaded once, reconciled, skipped when repeated."""
+    database = "ratescope_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'bronze')}'")
+    names = Schemas(bronze=database)
+    tables.ensure_manifest(spark, names.log)
+    tables.append_events(files.page_manifest(spark, sf_dir), names.log)
+    spec = PageSetSpec("customers")
+    build.load_page_set(spark, spec, names)
+    if build.load_page_set(spark, spec, names) != tables.SKIPPED:
+        raise RuntimeError("a repeated load was not skipped")
+    bronze = spark.table(f"{database}.customers")
+    return rounded(bronze.select(
+        F.col("c_custkey").try_cast("bigint").alias("c_custkey"),
+        fn.quoted("facility name").alias("facility_name"),
+        fn.number_or_null(F.col("c_acctbal")).alias("c_acctbal"),
+        F.col("_run_id").alias("run_id"),
+        (F.col("_source_file").isNotNull() & F.col("_ingested_at").isNotNull()).alias("has_lineage"),
+    ))
+
+
 @query
 def price_csv_records(spark, sf_dir):
     """Rows per tall file against its records, lead records included."""

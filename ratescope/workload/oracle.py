@@ -98,10 +98,7 @@ payer_categories AS (
     AND n.plan_name IS NOT DISTINCT FROM h.plan_name AND h.rn = 1
 )"""
 
-RATES_CTE = f"""{STAGED_CTE},
-{HEADERS_CTE},
-{CROSSWALK_CTE},
-{PAYERS_CTE},
+RATES_FROM_STAGED_CTE = """
 rates AS (
   SELECT s.source_key, x.hospital_ccn, x.hospital_name, s.code_type,
     CASE WHEN s.code_type IN ('CPT', 'HCPCS') THEN 'CPT/HCPCS' ELSE s.code_type END AS code_family,
@@ -122,6 +119,12 @@ rates AS (
     AND s.plan_name IS NOT DISTINCT FROM pc.plan_name
 )"""
 
+RATES_CTE = f"""{STAGED_CTE},
+{HEADERS_CTE},
+{CROSSWALK_CTE},
+{PAYERS_CTE},
+{RATES_FROM_STAGED_CTE}"""
+
 USABLE_CTE = """
 usable AS (
   SELECT hospital_ccn, hospital_name, code_family, code, setting, coalesce(billing_class, 'unspecified') AS billing_class,
@@ -164,8 +167,7 @@ def _stats(keys: str, name: str) -> str:
 )"""
 
 
-BY_CATEGORY_CTE = f"""{RATES_CTE},
-{USABLE_CTE},
+BY_CATEGORY_FROM_RATES_CTE = f"""{USABLE_CTE},
 {_stats("hospital_ccn, code_family, code, setting, billing_class, payer_category", "cat")},
 by_category AS (
   SELECT hospital_ccn, hospital_name, code_family, code, setting, billing_class, payer_category, procedure_label,
@@ -174,6 +176,9 @@ by_category AS (
   FROM cat_stats
 )"""
 
+BY_CATEGORY_CTE = f"""{RATES_CTE},
+{BY_CATEGORY_FROM_RATES_CTE}"""
+
 OUTCOMES_CTE = """
 measures AS (
   SELECT lpad(CAST(user_id % 30 AS VARCHAR), 6, '0') AS hospital_ccn, event_type,
@@ -243,11 +248,3 @@ variation AS (
     h.county, h.hospital_type, h.hospital_ownership
   FROM var_stats v LEFT JOIN hospitals h ON v.hospital_ccn = h.hospital_ccn
 )"""
-
-
-def rounded(columns: str, doubles: str) -> str:
-    """Select list with doubles rounded to 6 places, as the queries round them."""
-    wanted = {d.strip() for d in doubles.split(",") if d.strip()}
-    return ", ".join(
-        f"round({c}, 6) AS {c}" if c in wanted else c for c in (c.strip() for c in columns.split(","))
-    )
