@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ratescope.functions import names_overlap
 from ratescope.plans.diagnostics import duplicate_groups
 from ratescope.plans.manifest import landed_pages
+from ratescope.sources.streams import open_stream
 
 PASS, WARN, FAIL = "pass", "warn", "fail"
 # Fixed value: how much of a file's start is looked at, in bytes.
@@ -350,11 +351,9 @@ def file_facts(spark, paths: Sequence[str], checksum_up_to: int = CHECKSUM_UP_TO
 
 
 def _heads(batches):
-    from ratescope.sources.price_json import _open
-
     for batch in batches:
         heads = []
         for path in batch["path"]:
-            with _open(path) as stream:
+            with open_stream(path) as stream:
                 heads.append(stream.read(HEAD_BYTES))
         yield batch.assign(head=heads, sha256=None)

@@ -337,9 +337,14 @@ def run_ids(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------------------- load log
+def _wall_clock(df: DataFrame) -> DataFrame:
+    """Event times as the tables show them, whatever the session's time zone."""
+    return df.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
 @query
 def last_downloads(spark, sf_dir):
-    return manifest.last_downloads(files.event_manifest(spark, sf_dir)).drop("sha256")
+    return _wall_clock(manifest.last_downloads(files.event_manifest(spark, sf_dir)).drop("sha256"))
 
 
 @query
@@ -359,14 +364,14 @@ def rows_and_pages(spark, sf_dir):
 
 @query
 def event_history(spark, sf_dir):
-    return manifest.event_history(files.event_manifest(spark, sf_dir), "key-8")
+    return _wall_clock(manifest.event_history(files.event_manifest(spark, sf_dir), "key-8"))
 
 
 @query
 def latest_run_events(spark, sf_dir):
-    return manifest.latest_run_events(files.event_manifest(spark, sf_dir)).select(
+    return _wall_clock(manifest.latest_run_events(files.event_manifest(spark, sf_dir)).select(
         "run_id", "dataset_key", "status", "event_ts"
-    )
+    ))
 
 
 @query
