@@ -3,7 +3,7 @@
 Spark's ``percentile`` keeps every distinct value of a group in one buffer. That is the cheapest plan
 while groups are small, so it is used for every group proven to have at most ``hot_group_rows`` rows.
 Larger groups are ranked across tasks: values are counted per narrow value band, the bands that hold
-the wanted ranks are found from the counts, and only those bands are sorted.
+the wanted ranks are found from the counts and cut finer while they are large, and only those are sorted.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ from ratescope.sinks.scratch import write_stage
 _BROADCAST_KEYS = 100_000
 _BANDS_PER_DOUBLING = 1024
 _LARGEST_BAND = 1_100.0 * _BANDS_PER_DOUBLING
+# Each further step cuts a band 65,536-fold; after three, doubles cannot be told apart.
+_SUB_BANDS = 65_536.0
+_MAX_STEPS = 4
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], limit: int, max_rows: int | None = None) -> DataFrame | None:
@@ -69,7 +72,7 @@ def percentiles_by_group(
     side = F.broadcast(hot) if hot.count() <= _BROADCAST_KEYS else hot
     usual = df.join(side, null_safe(df, side, keys), "left_anti")
     crowded = df.join(side, null_safe(df, side, keys), "left_semi")
-    ranked = _ranked_percentiles(crowded, keys, wanted)
+    ranked = _ranked_percentiles(crowded, keys, wanted, limit)
     rest = crowded.groupBy(*keys).agg(*others) if others else crowded.select(*keys).distinct()
     extra = [c for c in rest.columns if c not in keys]
     ranked = rest.join(ranked, null_safe(rest, ranked, keys), "left").select(
@@ -84,62 +87,59 @@ def _band(value: Column) -> Column:
     return F.when(F.isnan(value), F.lit(_LARGEST_BAND)).otherwise(F.signum(value) * size)
 
 
+def _sub_band(value: Column, low: Column, high: Column) -> Column:
+    """A non-decreasing split of the values from ``low`` to ``high`` into equal steps."""
+    share = F.nanvl((value - low) / (high - low), F.lit(0.5))
+    return (
+        F.when(value == low, F.lit(0.0))
+        .when(value == high, F.lit(_SUB_BANDS))
+        .otherwise(F.floor(share * F.lit(_SUB_BANDS)).cast("double"))
+    )
+
+
 def _ranked_percentiles(
-    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[Column, Sequence[float]]]
+    df: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[Column, Sequence[float]]], limit: int
 ) -> DataFrame:
     """Percentiles by distributed rank selection. No task ever holds a whole group.
 
     1. count rows per (group, value): combined before the shuffle, and spread by value;
     2. count rows per (group, band): a bounded number of bands per group;
-    3. find the bands that hold the two ranks around each wanted position;
-    4. rank the values inside those bands only.
+    3. keep the bands that hold the two ranks around each wanted position;
+    4. while a kept band has more than ``limit`` distinct values, cut it into finer bands and go to 2;
+    5. rank the values inside the kept bands.
     """
     measures = F.array(*[
         F.struct(F.lit(i).alias("_measure"), v.cast("double").alias("_value"))
         for i, (v, _) in enumerate(wanted.values())
     ])
+    group = [*keys, "_measure"]
+    cell = [*group, "_cell"]
     values = (
         df.select(*keys, F.explode(measures).alias("_m"))
         .select(*keys, "_m._measure", "_m._value")
         .filter(F.col("_value").isNotNull())
         .withColumn("_band", _band(F.col("_value")))
-        .groupBy(*keys, "_measure", "_band", "_value")
+        .groupBy(*group, "_band", "_value")
         .agg(F.count("*").alias("_n"))
-    )
-    values = write_stage(values, "counted-values")
-    group = [*keys, "_measure"]
-
-    in_order = Window.partitionBy(*group).orderBy("_band")
-    bands = (
-        values.groupBy(*group, "_band")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*group)))
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
+        .withColumns({
+            "_cell": F.lit(""), "_base": F.lit(0).cast("bigint"), "_total": F.lit(None).cast("bigint"),
+        })
     )
     probabilities = _pick(
         F.col("_measure"), [F.array(*[F.lit(float(p)) for p in ps]) for _, ps in wanted.values()]
     )
-    positions = F.transform(probabilities, lambda p: p * (F.col("_total") - 1))
-
-    def holds(position: Column) -> Column:
-        low, high = F.floor(position), F.ceil(position)
-        return ((low >= F.col("_before")) & (low < F.col("_upto"))) | (
-            (high >= F.col("_before")) & (high < F.col("_upto"))
-        )
-
-    chosen = bands.filter(F.exists(positions, holds)).select(*group, "_band", "_before", "_total")
-    chosen = write_stage(chosen, "chosen-bands")
-    side = F.broadcast(chosen) if chosen.count() <= _BROADCAST_KEYS else chosen
-    band_keys = [*group, "_band"]
-    members = values.join(side, null_safe(values, side, band_keys)).select(
-        *[values[k] for k in band_keys], values["_value"], values["_n"], side["_before"], side["_total"]
-    )
-    in_band = Window.partitionBy(*band_keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = members.withColumn("_last", F.col("_before") + F.sum("_n").over(in_band)).withColumn(
+    for step in range(_MAX_STEPS):
+        values = write_stage(values, "counted-values")
+        chosen = write_stage(_bands_with_ranks(values, cell, probabilities), "chosen-bands")
+        members = _members(values, chosen, [*cell, "_band"])
+        if step == _MAX_STEPS - 1 or chosen.filter(F.col("_n_values") > limit).limit(1).count() == 0:
+            break
+        values = members.withColumn("_band", _sub_band(F.col("_value"), F.col("_low"), F.col("_high")))
+
+    in_cell = Window.partitionBy(*cell).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = members.withColumn("_last", F.col("_base") + F.sum("_n").over(in_cell)).withColumn(
         "_first", F.col("_last") - F.col("_n")
     )
-
     columns = []
     for i, (name, (_, ps)) in enumerate(wanted.items()):
         total = F.max(F.when(F.col("_measure") == i, F.col("_total")))
@@ -157,6 +157,39 @@ def _ranked_percentiles(
     return ranked.groupBy(*keys).agg(*columns)
 
 
+def _bands_with_ranks(values: DataFrame, cell: Sequence[str], probabilities: Column) -> DataFrame:
+    """The bands of each cell that hold a wanted rank, with the rows before them and their value range."""
+    in_order = Window.partitionBy(*cell).orderBy("_band").rowsBetween(Window.unboundedPreceding, 0)
+    bands = (
+        values.groupBy(*cell, "_band")
+        .agg(
+            F.sum("_n").alias("_n"), F.count("*").alias("_n_values"), F.min("_value").alias("_low"),
+            F.max("_value").alias("_high"), F.max("_base").alias("_base"), F.max("_total").alias("_total"),
+        )
+        .withColumn("_upto", F.col("_base") + F.sum("_n").over(in_order))
+        .withColumn("_before", F.col("_upto") - F.col("_n"))
+        .withColumn("_total", F.coalesce("_total", F.sum("_n").over(Window.partitionBy(*cell))))
+    )
+
+    def within(rank: Column) -> Column:
+        return (rank >= F.col("_before")) & (rank < F.col("_upto"))
+
+    positions = F.transform(probabilities, lambda p: p * (F.col("_total") - 1))
+    holds = F.exists(positions, lambda at: within(F.floor(at)) | within(F.ceil(at)))
+    return bands.filter(holds).select(*cell, "_band", "_before", "_total", "_low", "_high", "_n_values")
+
+
+def _members(values: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The counted values of the chosen bands; each band becomes a cell of its own."""
+    side = F.broadcast(chosen) if chosen.count() <= _BROADCAST_KEYS else chosen
+    outer = [k for k in keys if k not in ("_cell", "_band")]
+    return values.join(side, null_safe(values, side, keys)).select(
+        *[values[k] for k in outer],
+        F.concat(values["_cell"], F.lit("/"), values["_band"].cast("string")).alias("_cell"),
+        values["_value"], values["_n"], side["_before"].alias("_base"), side["_total"], side["_low"], side["_high"],
+    )
+
+
 def _value_at(measure: int, rank: Column) -> Column:
     here = (F.col("_measure") == measure) & (rank >= F.col("_first")) & (rank < F.col("_last"))
     return F.max(F.when(here, F.col("_value")))

@@ -77,6 +77,7 @@ _USABLE = "rate_type = 'dollar' AND NOT is_placeholder_rate"
 
 EXPECTED: dict[str, str] = {
     "rates_by_payer_category": f"WITH {BY_CATEGORY_CTE} SELECT {_round(*_SPREAD)} FROM by_category",
+    "rates_by_payer_category_hot_groups": f"WITH {BY_CATEGORY_CTE} SELECT {_round(*_SPREAD)} FROM by_category",
     "price_variation": f"WITH {VARIATION_CTE} SELECT {_round(*_SPREAD, 'spread_ratio')} FROM variation",
     "variation_across_hospitals": f"WITH {VARIATION_CTE}, {_ACROSS_VARIATION} SELECT {_round(*_ACROSS)} FROM across",
     "hospital_comparison": f"WITH {BY_CATEGORY_CTE}, {_ACROSS_CATEGORY} SELECT {_round(*_ACROSS)} FROM across",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,13 @@ def rates_by_payer_category(spark, sf_dir):
     return rounded(by_category(spark, sf_dir))
 
 
+@query
+def rates_by_payer_category_hot_groups(spark, sf_dir):
+    """The same statistics with every larger group ranked across tasks, at both levels."""
+    cfg = replace(CONFIG, hot_group_rows=20)
+    return rounded(gold.price_by_payer_category(star.rates(spark, sf_dir), cfg))
+
+
 @query
 def price_variation(spark, sf_dir):
     return rounded(variation(spark, sf_dir))

@@ -74,3 +74,14 @@ def test_result_does_not_depend_on_partitioning(spark):
         results.append(sorted((str(r["k"]), r["m"], r["p"]) for r in found.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1]
+
+
+def test_crowded_bands_are_cut_finer(spark):
+    """Thousands of distinct values so close together that the first bands cannot part them."""
+    rng = random.Random(4)
+    close = [20_000 + rng.random() * 1e-3 for _ in range(3_000)] + [20_000 + rng.random() * 1e-9 for _ in range(3_000)]
+    rows = [("close", v) for v in close] + [("spread", rng.uniform(-9, 9)) for _ in range(1_000)] + [("same", 7.0)] * 500
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r["p"] for r in percentiles_by_group(df, ["k"], {"p": (F.col("v"), PROBS)}, limit=50).collect()}
+    for key in ("close", "spread", "same"):
+        assert got[key] == pytest.approx(list(np.quantile([v for k, v in rows if k == key], PROBS)), rel=1e-14, abs=1e-14)
