@@ -62,6 +62,7 @@ def mentioning_codes(items: DataFrame, text: str, procedure_codes: DataFrame, cf
     codes = procedure_codes.select("code").filter(F.col("code").isNotNull()).distinct()
     rows = small_rows(codes, cfg.max_inline_rows)
     if rows is None:
+        codes = broadcast_if_small(codes, cfg.max_broadcast_rows)
         needle = F.concat(F.lit('"'), codes["code"], F.lit('"'))
         return items.join(codes, F.instr(items[text], needle) > 0, "left_semi")
     if not rows:

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from ratescope.config import DEFAULT_PAYER_CATEGORY, PipelineConfig
 from ratescope.functions import match_text
-from ratescope.operators.lookups import null_safe, small_rows
-
-CATEGORY_COLUMNS = ("payer_category", "payer_category_is_default", "matched_pattern")
-
+from ratescope.operators.lookups import broadcast_if_small, small_rows
 
 def first_matching_rule(text: Column, rules: list) -> Column:
     """struct(category, pattern) of the first rule that matches; lowest priority, then pattern text."""
@@ -33,7 +30,7 @@ def with_payer_category(
     rows = small_rows(rules, cfg.max_inline_rows)
     if rows is None:
         named = df.select(F.col(payer).alias("_payer"), F.col(plan).alias("_plan")).distinct()
-        found = _match_by_join(named, rules)
+        found = _match_by_join(named, broadcast_if_small(rules, cfg.max_broadcast_rows))
         joined = df.join(
             found, df[payer].eqNullSafe(found["_payer"]) & df[plan].eqNullSafe(found["_plan"]), "left"
         )
@@ -64,6 +61,3 @@ def _match_by_join(named: DataFrame, rules: DataFrame) -> DataFrame:
 def payer_plan_names(staged: DataFrame) -> DataFrame:
     """Distinct trimmed payer and plan names of staged rates."""
     return staged.select(F.trim("payer_name").alias("payer_name"), F.trim("plan_name").alias("plan_name")).distinct()
-
-
-__all__ = ["CATEGORY_COLUMNS", "first_matching_rule", "null_safe", "payer_plan_names", "with_payer_category"]

@@ -11,6 +11,20 @@ from ratescope.schemas import PRICE_FILE_SOURCE
 
 DOWNLOAD_COLUMNS = ("landing_path", "file_bytes", "sha256", "etag", "last_modified", "event_ts")
 
+# The reasons of a refresh decision, as the load log states them.
+FORCED = "force_download is on"
+FIRST = "no earlier successful download"
+DISK = "earlier file is missing or its size changed on disk"
+AGE = "earlier download is over {days} days old; refreshing"
+NO_HEADERS = "could not read headers from the server"
+ETAG_SAME = "ETag unchanged"
+ETAG_NEW = "ETag changed"
+MODIFIED_SAME = "Last-Modified unchanged"
+MODIFIED_NEW = "Last-Modified changed"
+NOT_SINCE = "not modified since the last download"
+SINCE = "modified after the last download, or the size differs"
+NO_SIGNAL = "server gave no reliable change signal"
+
 
 def last_downloads(manifest: DataFrame) -> DataFrame:
     """Newest successful download per price file. A skipped run is not a download."""
@@ -118,23 +132,23 @@ def refresh_decisions(
         return F.struct(F.lit(skip).alias("skip"), F.lit(reason).alias("reason"))
 
     decision = (
-        F.when(F.coalesce("forced", F.lit(False)), decided(False, "force_download is on"))
-        .when(F.col("prev_event_ts").isNull(), decided(False, "no earlier successful download"))
-        .when(~intact, decided(False, "earlier file is missing or its size changed on disk"))
-        .when(old, decided(False, f"earlier download is over {max_age_days} days old; refreshing"))
-        .when(~F.coalesce("headers_read", F.lit(False)), decided(False, "could not read headers from the server"))
-        .when(both_etags & (F.col("etag") == F.col("prev_etag")), decided(True, "ETag unchanged"))
-        .when(both_etags, decided(False, "ETag changed"))
+        F.when(F.coalesce("forced", F.lit(False)), decided(False, FORCED))
+        .when(F.col("prev_event_ts").isNull(), decided(False, FIRST))
+        .when(~intact, decided(False, DISK))
+        .when(old, decided(False, AGE.format(days=max_age_days)))
+        .when(~F.coalesce("headers_read", F.lit(False)), decided(False, NO_HEADERS))
+        .when(both_etags & (F.col("etag") == F.col("prev_etag")), decided(True, ETAG_SAME))
+        .when(both_etags, decided(False, ETAG_NEW))
         .when(
             both_dates & (F.col("last_modified") == F.col("prev_last_modified")),
-            decided(True, "Last-Modified unchanged"),
+            decided(True, MODIFIED_SAME),
         )
-        .when(both_dates, decided(False, "Last-Modified changed"))
+        .when(both_dates, decided(False, MODIFIED_NEW))
         .when(
             dated & (modified <= F.col("prev_event_ts")) & same_length,
-            decided(True, "not modified since the last download"),
+            decided(True, NOT_SINCE),
         )
-        .when(dated, decided(False, "modified after the last download, or the size differs"))
-        .otherwise(decided(False, "server gave no reliable change signal"))
+        .when(dated, decided(False, SINCE))
+        .otherwise(decided(False, NO_SIGNAL))
     )
     return j.select("dataset_key", decision.alias("d")).select("dataset_key", "d.skip", "d.reason")

@@ -14,6 +14,14 @@ from ratescope.plans.manifest import landed_pages
 from ratescope.sources.streams import open_stream
 
 PASS, WARN, FAIL = "pass", "warn", "fail"
+# What is said of a payload or file that is not what was expected.
+EMPTY = "empty response body"
+HTML = "received an HTML page instead of a data file"
+NOT_JSON = "expected JSON but payload does not start with { or ["
+NOT_ZIP = "expected a zip archive but the file signature is missing"
+NO_ZIP_SIGNATURE = "missing zip file signature"
+NO_CSV_COLUMN = "no 'standard_charge' column in the first 64 KB"
+NO_JSON_KEY = "no price transparency keys in the first 64 KB"
 # Fixed value: how much of a file's start is looked at, in bytes.
 HEAD_BYTES = 65_536
 # Files above this are checked by length only: one task reads a file's content as one value.
@@ -246,16 +254,16 @@ def head_problem(file_format: Column, head: Column) -> Column:
     text = F.decode(head, "ISO-8859-1")
     bare = F.lower(F.regexp_replace(text, "^(ï»¿)?\\s*", ""))
     return (
-        F.when(F.length(head) == 0, "empty response body")
+        F.when(F.length(head) == 0, F.lit(EMPTY))
         .when(
             file_format.isin("csv", "json") & (bare.startswith("<!doctype") | bare.startswith("<html")),
-            "received an HTML page instead of a data file",
+            F.lit(HTML),
         )
         .when(
             (file_format == "json") & ~(bare.startswith("{") | bare.startswith("[")),
-            "expected JSON but payload does not start with { or [",
+            F.lit(NOT_JSON),
         )
-        .when((file_format == "zip") & ~text.startswith("PK"), "expected a zip archive but the file signature is missing")
+        .when((file_format == "zip") & ~text.startswith("PK"), F.lit(NOT_ZIP))
     )
 
 
@@ -264,12 +272,12 @@ def format_problem(file_format: Column, head: Column) -> Column:
     text = F.lower(F.decode(head, "ISO-8859-1"))
     keys = F.contains(text, F.lit("standard_charge_information")) | F.contains(text, F.lit("hospital_name"))
     return (
-        F.when((file_format == "zip") & ~text.startswith("pk"), "missing zip file signature")
+        F.when((file_format == "zip") & ~text.startswith("pk"), F.lit(NO_ZIP_SIGNATURE))
         .when(
             (file_format == "csv") & ~F.contains(text, F.lit("standard_charge")),
-            "no 'standard_charge' column in the first 64 KB",
+            F.lit(NO_CSV_COLUMN),
         )
-        .when((file_format == "json") & ~keys, "no price transparency keys in the first 64 KB")
+        .when((file_format == "json") & ~keys, F.lit(NO_JSON_KEY))
     )
 
 
