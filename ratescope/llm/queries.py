@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescope.llm import line_dedup, mixing, quality_rules
+from ratescope.llm import decontaminate, line_dedup, mixing, quality_rules
 from ratescope.llm.common import documents, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op7_mixing(spark, sf_dir):
 @query
 def op10_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(documents(spark, sf_dir), digest_only=True)
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    return decontaminate.report(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
