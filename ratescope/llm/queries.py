@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescope.llm import decontaminate, line_dedup, mixing, quality_rules
-from ratescope.llm.common import documents, read_table
+from ratescope.llm import decontaminate, line_dedup, mixing, quality_rules, warc
+from ratescope.llm.common import documents, read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EXPECTED: dict[str, str] = {}
@@ -41,3 +41,10 @@ def op10_line_dedup(spark, sf_dir):
 @query
 def op2_decontamination(spark, sf_dir):
     return decontaminate.report(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_warc(spark, sf_dir):
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
