@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescope.llm import decontaminate, html_extract, line_dedup, mixing, quality_rules, warc
+from ratescope.llm import decontaminate, html_extract, line_dedup, mixing, near_dedup, quality_rules, warc
 from ratescope.llm.common import documents, read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,8 @@ def op4_warc(spark, sf_dir):
 def op5_html_extraction(spark, sf_dir):
     found = html_extract.extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup.report(documents(spark, sf_dir))
