@@ -27,7 +27,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescope.llm.common import utf8
+from ratescope.llm.common import few_rows, utf8, write_stage
 
 SHARD_BYTES = 16 << 20
 ROLL_BYTES = 4 << 20
@@ -149,8 +149,8 @@ def records(pages: DataFrame, revisit_from: int = 0) -> DataFrame:
         F.sha1(html.cast("binary")).alias("sha1"), F.sha2(html, 256).alias("sha2"), F.octet_length(html).cast("long").alias("n_bytes"),
     )
     first = named.where(F.col("n_bytes") >= revisit_from).groupBy("sha2").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    repeated = first.where(F.col("n") > 1).select(F.col("sha2").alias("_sha2"), "first")
-    joined = named.join(repeated, F.col("sha2") == F.col("_sha2"), "left")
+    repeated = write_stage(first.where(F.col("n") > 1).select(F.col("sha2").alias("_sha2"), "first"), "warc-repeated")
+    joined = named.join(few_rows(repeated), F.col("sha2") == F.col("_sha2"), "left")
     revisit = F.coalesce(F.col("first") != F.col("page_id"), F.col("first").isNotNull() & F.col("page_id").isNull())
     return joined.withColumn("revisit", revisit).select(
         "page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "sha1", "n_bytes", "revisit",
