@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratescope.llm import decontaminate, html_extract, line_dedup, mixing, near_dedup, quality_rules, substring_dedup, toxicity, warc
+from ratescope.llm import (
+    decontaminate, html_extract, language_model, line_dedup, mixing, near_dedup, quality_rules, substring_dedup, toxicity, warc,
+)
 from ratescope.llm.common import documents, read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +71,8 @@ def op1_substring_dedup(spark, sf_dir):
 @query
 def op6_toxicity(spark, sf_dir):
     return toxicity.report(documents(spark, sf_dir), read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@query
+def op9_language_model(spark, sf_dir):
+    return language_model.report(documents(spark, sf_dir))
