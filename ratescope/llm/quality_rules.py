@@ -88,7 +88,10 @@ def with_features(docs: DataFrame) -> DataFrame:
         F.size(F.array_distinct("_q_word_keys")).cast("long").alias("n_distinct"),
     )
     scratch = ["_q_words", "_q_word_keys", "_q_windows", "_q_ranked", "_q_starts", "_q_lines"]
-    return df.withColumn("_q", counts).drop(*scratch)
+    # As the output of a generator the counts are computed once per row; a filter on plain columns would be pushed below
+    # them and repeat the whole computation for each mention.
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in scratch]
+    return df.select(*kept, F.explode(F.array(counts)).alias("_q"))
 
 
 def base_failed(q: Column) -> Column:
