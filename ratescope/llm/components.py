@@ -1,4 +1,9 @@
-"""Connected components of a graph that is only a table of edges."""
+"""Components of a growing graph that is only a table of links.
+
+Each node has a root. A round of new links is mapped to roots; every root that has a smaller neighbour is hung on its
+smallest one, and pointers are shortened by joining the pointer table with itself. A root with very many neighbours is no
+single task's work: minima are combined before the shuffle, and joins are plain ones on a table with unique keys.
+"""
 
 from __future__ import annotations
 
@@ -8,46 +13,50 @@ from pyspark.sql import functions as F
 from ratescope.llm.common import write_stage
 
 
-def _hang(edges: DataFrame, larger_only: bool) -> DataFrame:
-    """Hang neighbours of each node on its smallest neighbour.
+def _flattened(hung: DataFrame) -> DataFrame:
+    """hi, lo with lo at the end of every chain; ``hung`` has one row per hi, and lo < hi, so there are no cycles.
 
-    ``edges`` (a, b) holds every edge once, a > b. Minima are combined before the shuffle, and the join back is a plain
-    one, so a node with very many neighbours is no single task's work.
+    Each round doubles the length of the steps, so there are as many as the logarithm of the longest chain.
     """
-    if larger_only:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
+    while True:
+        further = hung.select(F.col("hi").alias("_hi"), F.col("lo").alias("_lo"))
+        hung = write_stage(
+            hung.join(further, F.col("lo") == F.col("_hi"), "left").select(
+                "hi", F.coalesce("_lo", "lo").alias("lo"), F.col("_lo").isNotNull().alias("moved")
+            ),
+            "component-pointers",
         )
-    else:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("_u", "m").alias("m"))
-    joined = both.join(least, F.col("u") == F.col("_u"))
-    if larger_only:
-        moved = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
-            least.select(F.col("_u").alias("a"), F.col("m").alias("b"))
+        if hung.where("moved").isEmpty():
+            return hung.select("hi", "lo")
+
+
+def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, root after ``links`` (a, b); nodes that are their own root have no row. ``roots`` is what was known before."""
+    open_links = links.select("a", "b")
+    while True:
+        mapped = open_links
+        if roots is not None:
+            left = roots.select(F.col("node").alias("_na"), F.col("root").alias("_ra"))
+            right = roots.select(F.col("node").alias("_nb"), F.col("root").alias("_rb"))
+            mapped = (
+                open_links.join(left, F.col("a") == F.col("_na"), "left").join(right, F.col("b") == F.col("_nb"), "left")
+                .select(F.coalesce("_ra", "a").alias("a"), F.coalesce("_rb", "b").alias("b"))
+            )
+        mapped = write_stage(
+            mapped.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+            "component-links",
         )
-    return moved.where(F.col("a") != F.col("b")).distinct()
-
-
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """node, root (smallest node reachable) for every node of ``edges`` (a, b) that is not its own root.
-
-    Neighbours larger than a node, then the smaller ones, are hung on its smallest neighbour until nothing moves, which
-    takes rounds in proportion to the logarithm of the longest path. Each round is a written table.
-    """
-    now = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = write_stage(now, "component-edges")
-    before = _state(now)
-    while before[0]:
-        now = write_stage(_hang(_hang(now, True), False), "component-edges")
-        after = _state(now)
-        if after == before:
-            break
-        before = after
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        if mapped.isEmpty():
+            return roots if roots is not None else mapped.toDF("node", "root")
+        hung = _flattened(mapped.groupBy(F.col("a").alias("hi")).agg(F.min("b").alias("lo")))
+        if roots is None:
+            roots = hung.toDF("node", "root")
+        else:
+            moved = roots.join(hung, F.col("root") == F.col("hi"), "left").select("node", F.coalesce("lo", "root").alias("root"))
+            roots = write_stage(moved.unionByName(hung.toDF("node", "root")), "component-roots")
+        open_links = mapped
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node, root (smallest node reachable) for every node of ``links`` that is not its own root."""
+    return joined_roots(None, links)

@@ -89,11 +89,12 @@ def _rebuild(row_text, dropped, min_chars: int) -> tuple[bytes, int, int]:
     return b"\n".join(kept), len(lines), len(lines) - len(kept)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, digest_only: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, digest_only: bool = False, counts: bool = True) -> DataFrame:
     """Documents without crowded lines.
 
-    The columns of ``docs`` come back with ``text`` cleaned, and ``n_lines`` and ``n_dropped`` beside it. With
-    ``digest_only`` the result is (doc_id, n_lines, n_dropped, kept_sha256), so no text leaves the tasks.
+    The columns of ``docs`` come back with ``text`` cleaned and, with ``counts``, ``n_lines`` and ``n_dropped`` in place
+    of any columns of these names. With ``digest_only`` the result is (doc_id, n_lines, n_dropped, kept_sha256), so no
+    text leaves the tasks.
     """
     drops = crowded_keys(docs, min_chars, min_docs).withColumnRenamed("doc_id", _NOTE)
     source = docs.select("doc_id", "text") if digest_only else docs
@@ -113,5 +114,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, digest_
         return done.select("doc_id", "_ld.n_lines", "_ld.n_dropped", F.col("_ld.kept").alias("kept_sha256"))
     # A text that was null and lost nothing stays null.
     text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col("_ld.kept"))
-    rest = [F.col(f"`{c}`") if c != "text" else text.alias("text") for c in docs.columns]
-    return done.select(*rest, F.col("_ld.n_lines").alias("n_lines"), F.col("_ld.n_dropped").alias("n_dropped"))
+    own = [F.col("_ld.n_lines").alias("n_lines"), F.col("_ld.n_dropped").alias("n_dropped")] if counts else []
+    replaced = {"n_lines", "n_dropped"} if counts else set()
+    rest = [F.col(f"`{c}`") if c != "text" else text.alias("text") for c in docs.columns if c not in replaced]
+    return done.select(*rest, *own)

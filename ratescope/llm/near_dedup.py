@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratescope.llm.common import few_rows, shuffle_slots, utf8, write_stage
-from ratescope.llm.components import components
+from ratescope.llm.components import joined_roots
 from ratescope.llm.hashing import WordHashes, mix, run_hashes
 
 SHINGLE = 5
@@ -200,7 +200,6 @@ def _forest(members: DataFrame, roots: DataFrame | None, most: int) -> DataFrame
 
 def near_components(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
-    spark = docs.sparkSession
     signed = signatures(docs)
     full = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     groups = write_stage(
@@ -208,8 +207,11 @@ def near_components(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     )
     members = groups.select("node", "signature")
 
-    # Round 1: the closest earlier neighbour of each member.
-    first = _forest(members, None, 1).groupBy("a").agg(F.max_by("b", F.struct("depth", -F.col("b"))).alias("b"), F.collect_set("b").alias("others"))
+    # Round 1: of each member's close neighbours with smaller ids the closest, and among equally close ones the smallest,
+    # which keeps chains short.
+    ordered = _forest(members, None, 1).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "depth")
+    closest = F.max_by("b", F.struct(F.least("depth", F.lit(SIGNATURE // TREES)), -F.col("b")))
+    first = ordered.groupBy("a").agg(closest.alias("b"), F.collect_set("b").alias("others"))
     first = write_stage(first, "forest-neighbours")
     near = first.select("a", F.explode("others").alias("b"))
     nodes = write_stage(
@@ -222,13 +224,13 @@ def near_components(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     )
     near_members = write_stage(near_members, "forest-near-members")
 
-    roots = spark.createDataFrame([], "node bigint, root bigint")
+    roots = None
     pairs = first.select("a", "b")
     tried = None
     while True:
         outcome = write_stage(_confirmed(pairs, texts, similar), "forest-outcome")
         tried = outcome if tried is None else tried.unionByName(outcome)
-        roots = write_stage(components(tried.where("linked").select("a", "b")), "forest-roots")
+        roots = joined_roots(roots, outcome.where("linked"))
         found = _forest(near_members, roots, NEIGHBOURS).select(
             F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
         ).distinct()

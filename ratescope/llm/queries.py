@@ -11,9 +11,9 @@ from ratescope.llm import (
     decontaminate, html_extract, language_model, line_dedup, mixing, near_dedup, quality_rules, substring_dedup, toxicity, warc,
 )
 from ratescope.llm.common import documents, read_table, scratch_path
+from ratescope.llm.expected import EXPECTED  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-EXPECTED: dict[str, str] = {}
 
 
 def query(f):

@@ -114,12 +114,12 @@ def _shards(window: int, shard: int):
 
 def _joined_passages(shards, shard: int) -> list[list[bytes]]:
     """Passages of the shards; neighbouring shards of a document become one."""
-    passages, before = [], None
+    passages, before, start = [], None, 0
     for row in sorted(shards, key=lambda r: (r["first"], r["shard"])):
         words = bytes(row["passage"]).split()
-        if before == (row["first"], row["shard"] - 1) and len(passages[-1]) >= shard:
-            # The overlap is what the earlier shard already holds beyond its own starts.
-            overlap = len(passages[-1]) - (row["shard"] - start) * shard
+        # What the earlier shard holds beyond its own starts is the beginning of this one.
+        overlap = len(passages[-1]) - (row["shard"] - start) * shard if before == (row["first"], row["shard"] - 1) else 0
+        if overlap > 0 and passages[-1][-overlap:] == words[:overlap]:
             passages[-1].extend(words[overlap:])
         else:
             passages.append(words)
