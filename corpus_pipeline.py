@@ -29,7 +29,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_crowded_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(line_dedup.dedup_lines(docs).drop("n_lines", "n_dropped"))
+    return _measured(line_dedup.dedup_lines(docs, counts=False))
 
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
