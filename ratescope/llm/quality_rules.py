@@ -173,7 +173,7 @@ def fit_label_model(votes_table: DataFrame, rules: list[str], rounds: int = ROUN
         if not total:
             break
         new = LabelModel(
-            _held(got["good"] / total, 0.02, 0.98),
+            _held(got["good"] / total, 0.05, 0.95),
             {r: _held((got[f"{r}_1g"] + 10 * START_ON_GOOD) / (got[f"{r}_g"] + 10), *ON_GOOD) for r in rules},
             {r: _held((got[f"{r}_1b"] + 10 * START_ON_BAD) / (got[f"{r}_b"] + 10), *ON_BAD) for r in rules},
         )

@@ -231,6 +231,9 @@ def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def _kept_text(texts: pd.Series, spans: pd.Series) -> pd.Series:
     out = []
     for text, gone in zip(texts, spans):
+        if gone is None:
+            out.append(text)
+            continue
         words, kept, at = split_words(text), [], 0
         for s in gone:
             kept += words[at:s["start"]]
