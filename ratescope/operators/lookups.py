@@ -53,18 +53,30 @@ def label_procedures(coded: DataFrame, procedure_codes: DataFrame, cfg: Pipeline
     return kept.join(labels, on, how).drop("_label_code", "_label_type")
 
 
+def _inner_runs(pieces: Column, width: int) -> Column:
+    """Runs of ``width`` pieces of a text cut at its quotes, put together again; the ends stand in no quotes."""
+    n = F.greatest(F.size(pieces) - 1 - width, F.lit(0))
+    return F.transform(F.slice(F.sequence(F.lit(2), n + 2), 1, n), lambda at: F.array_join(F.slice(pieces, at, width), '"'))
+
+
 def mentioning_codes(items: DataFrame, text: str, procedure_codes: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Keep items whose text holds any procedure code in double quotes, before the text is parsed.
 
     A few codes become substring tests. For more codes the text is cut at its quotes once, and its inner
-    pieces are compared with the list. Lists too long to inline are a left semi join on the same test.
+    pieces are compared with the list. For lists too long to inline the pieces of each distinct text are
+    joined with the codes, and the texts that hold one with the items, both by equality.
     """
     codes = procedure_codes.select("code").filter(F.col("code").isNotNull()).distinct()
     rows = small_rows(codes, cfg.max_inline_rows)
     if rows is None:
-        codes = broadcast_if_small(codes, cfg.max_broadcast_rows)
-        needle = F.concat(F.lit('"'), codes["code"], F.lit('"'))
-        return items.join(codes, F.instr(items[text], needle) > 0, "left_semi")
+        # A code with a quote in it is not one piece, so it is looked for as the run of pieces it is cut into.
+        codes = codes.withColumn("_width", F.size(F.split("code", '"', -1)))
+        widths = [r[0] for r in codes.select("_width").distinct().collect()]
+        cut = items.select(F.md5(items[text]).alias("_text"), F.split(items[text], '"', -1).alias("_p"))
+        runs = F.array_distinct(F.concat(*[_inner_runs(F.col("_p"), w) for w in sorted(widths)]))
+        held = cut.select("_text", F.explode(runs).alias("_code"))
+        found = held.join(codes, held["_code"] == codes["code"], "left_semi").select("_text").distinct()
+        return items.join(found, F.md5(items[text]) == found["_text"], "left_semi")
     if not rows:
         return items.filter(F.lit(False))
     wanted = sorted(r["code"] for r in rows)

@@ -7,15 +7,30 @@ from pyspark.sql import functions as F
 
 from ratescope.config import DEFAULT_PAYER_CATEGORY, PipelineConfig
 from ratescope.functions import match_text
-from ratescope.operators.lookups import broadcast_if_small, small_rows
+from ratescope.operators.lookups import broadcast_if_small
+from ratescope.sinks.scratch import write_stage
+
+#: Rules compiled into one CASE expression; longer lists become several, tried one after another.
+_RULES_PER_CASE = 200
+_NO_RULE = "struct<category:string,pattern:string>"
+
+
+def _order(rule) -> tuple:
+    """Lowest priority first, a missing one before all, then the pattern's text."""
+    return rule["priority"] is not None, rule["priority"] or 0, rule["pattern"], rule["category"] or ""
+
 
 def first_matching_rule(text: Column, rules: list) -> Column:
-    """struct(category, pattern) of the first rule that matches; lowest priority, then pattern text."""
-    chain = None
-    for r in sorted(rules, key=lambda r: (r["priority"], r["pattern"])):
-        hit = F.struct(F.lit(r["category"]).alias("category"), F.lit(r["pattern"]).alias("pattern"))
-        chain = F.when(text.rlike(r["pattern"]), hit) if chain is None else chain.when(text.rlike(r["pattern"]), hit)
-    return F.lit(None).cast("struct<category:string,pattern:string>") if chain is None else chain
+    """struct(category, pattern) of the first rule that matches. A rule without pattern never does."""
+    usable = sorted((r for r in rules if r["pattern"] is not None), key=_order)
+    cases = []
+    for start in range(0, len(usable), _RULES_PER_CASE):
+        case = F
+        for r in usable[start:start + _RULES_PER_CASE]:
+            hit = F.struct(F.lit(r["category"]).alias("category"), F.lit(r["pattern"]).alias("pattern"))
+            case = case.when(text.rlike(r["pattern"]), hit)
+        cases.append(case)
+    return F.coalesce(*cases) if cases else F.lit(None).cast(_NO_RULE)
 
 
 def with_payer_category(
@@ -25,12 +40,15 @@ def with_payer_category(
 
     The category depends on the two names only, so a short rule table is compiled into one CASE
     expression: no name list, no join back and no shuffle. A long table is matched on distinct names
-    once and joined back null-safely.
+    once, which are few next to the rates, and joined back null-safely. Rule tables are written by hand, so
+    the driver can hold one.
     """
-    rows = small_rows(rules, cfg.max_inline_rows)
-    if rows is None:
+    rows = rules.select("priority", "pattern", "category").collect()
+    if len(rows) > cfg.max_inline_rows:
         named = df.select(F.col(payer).alias("_payer"), F.col(plan).alias("_plan")).distinct()
-        found = _match_by_join(named, broadcast_if_small(rules, cfg.max_broadcast_rows))
+        text = named.withColumn("_text", match_text(F.col("_payer"), F.col("_plan")))
+        matched = text.select("_payer", "_plan", first_matching_rule(F.col("_text"), rows).alias("_rule"))
+        found = broadcast_if_small(write_stage(matched.where("_rule is not null"), "matched-names"), cfg.max_broadcast_rows)
         joined = df.join(
             found, df[payer].eqNullSafe(found["_payer"]) & df[plan].eqNullSafe(found["_plan"]), "left"
         )
@@ -47,17 +65,6 @@ def with_payer_category(
     )
 
 
-def _match_by_join(named: DataFrame, rules: DataFrame) -> DataFrame:
-    """Theta join of distinct names and rules; one surviving rule per name, without a sort."""
-    text = named.withColumn("_text", match_text(F.col("_payer"), F.col("_plan")))
-    matched = text.join(rules, F.expr("_text rlike pattern"))
-    best = matched.groupBy("_payer", "_plan").agg(
-        F.min(F.struct("priority", "pattern", "category")).alias("_best")
-    )
-    rule = F.struct(F.col("_best.category").alias("category"), F.col("_best.pattern").alias("pattern"))
-    return best.select("_payer", "_plan", rule.alias("_rule"))
-
-
 def payer_plan_names(staged: DataFrame) -> DataFrame:
     """Distinct trimmed payer and plan names of staged rates."""
     return staged.select(F.trim("payer_name").alias("payer_name"), F.trim("plan_name").alias("plan_name")).distinct()

@@ -13,10 +13,10 @@ from ratescope.functions import run_id_from_path
 from ratescope.plans import gold, quality, silver, staging
 from ratescope.plans.manifest import last_downloads, latest_run_pages
 from ratescope.schemas import HEADER
-from ratescope.sinks.tables import SKIPPED, load_table, rebuild_table, with_lineage
+from ratescope.sinks.tables import SKIPPED, is_loaded, load_table, rebuild_table, with_lineage
 from ratescope.sources.pages import default_crosswalk, default_payer_rules, default_procedure_codes, read_pages
-from ratescope.sources.price_csv import LayoutError, is_lead_record, price_csv_header, read_lead, read_price_csv
-from ratescope.sources.price_json import price_json_headers, price_json_items
+from ratescope.sources.price_csv import LayoutError, N_LEADS, count_source_records, price_csv_header, read_price_csv
+from ratescope.sources.price_json import count_source_items, price_json_headers, price_json_items
 
 
 class LoadError(RuntimeError):
@@ -41,11 +41,11 @@ def load_page_set(spark: SparkSession, spec: PageSetSpec, names: Schemas, force:
     pages = latest_run_pages(log).select("run_id", "landing_path", "row_count").collect()
     if not pages:
         raise LoadError(f"{spec.key}: no succeeded pages in the load log")
+    table, run_id = f"{names.bronze}.{spec.key}", pages[0]["run_id"]
+    if not force and is_loaded(spark, table, run_id):
+        return SKIPPED
     records = read_pages(spark, sorted(p["landing_path"] for p in pages))
-    expected = sum(p["row_count"] or 0 for p in pages)
-    return load_table(
-        records, lambda r: r, f"{names.bronze}.{spec.key}", pages[0]["run_id"], expected=expected, force=force
-    )
+    return load_table(records, table, run_id, expected=sum(p["row_count"] or 0 for p in pages))
 
 
 def load_price_file(spark: SparkSession, spec: PriceFileSpec, names: Schemas, force: bool = False) -> int | str:
@@ -57,18 +57,16 @@ def load_price_file(spark: SparkSession, spec: PriceFileSpec, names: Schemas, fo
     if found is None:
         raise LoadError(f"{spec.key}: no successful download in the load log")
     path, run_id, table = found["landing_path"], found["run_id"], f"{names.bronze}.{spec.key}"
+    if not force and is_loaded(spark, table, run_id):
+        return SKIPPED
     if spec.file_format == "csv":
-        lead = read_lead(spark, path)
-        records, _ = read_price_csv(spark, [path])
-        header = price_csv_header(spark, path)
-        loaded = load_table(
-            records, lambda r: r.filter(~is_lead_record(lead)), table, run_id, lead_records=3, force=force
-        )
+        rows, header = read_price_csv(spark, [path])[1], price_csv_header(spark, path)
+        expected = count_source_records(spark, [path]) - N_LEADS
     else:
-        header = price_json_headers(spark, [path]).select(*HEADER.names)
-        loaded = load_table(price_json_items(spark, [path]), lambda r: r, table, run_id, force=force)
-    if loaded != SKIPPED:
-        rebuild_table(with_lineage(header, path, run_id), f"{table}_header")
+        rows, header = price_json_items(spark, [path]), price_json_headers(spark, [path]).select(*HEADER.names)
+        expected = count_source_items(spark, [path])
+    loaded = load_table(rows, table, run_id, expected=expected)
+    rebuild_table(with_lineage(header, F.lit(path), run_id), f"{table}_header")
     return loaded
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from functools import reduce
 
@@ -24,8 +25,8 @@ NO_CSV_COLUMN = "no 'standard_charge' column in the first 64 KB"
 NO_JSON_KEY = "no price transparency keys in the first 64 KB"
 # Fixed value: how much of a file's start is looked at, in bytes.
 HEAD_BYTES = 65_536
-# Files above this are checked by length only: one task reads a file's content as one value.
-CHECKSUM_UP_TO = 1_500_000_000
+# How much of a file is held at a time while it is hashed, in bytes.
+_HASH_BLOCK = 4 * 1024 * 1024
 
 
 class QualityError(RuntimeError):
@@ -298,7 +299,7 @@ def name_in_head(file_format: Column, head: Column) -> Column:
 def file_checks(manifest: DataFrame, run_id: str, files: DataFrame, specs: DataFrame) -> DataFrame:
     """Reconcile one run's price-file events with the landed files.
 
-    ``files``: path, length, head and sha256 (NULL above the checksum limit), see :func:`file_facts`.
+    ``files``: path, length, head and sha256, see :func:`file_facts`.
     ``specs``: dataset_key, hospital_name, file_format and min_bytes.
     """
     events = manifest.filter(F.col("run_id") == run_id).join(specs.select("dataset_key"), "dataset_key", "left_semi")
@@ -330,8 +331,7 @@ def file_checks(manifest: DataFrame, run_id: str, files: DataFrame, specs: DataF
         ("file_exists", there, FAIL, one),
         ("size_matches_manifest", same_size, FAIL, there),
         ("min_bytes", big_enough, FAIL, there),
-        ("checksum_matches", same_sum, FAIL, there & (F.col("length") <= CHECKSUM_UP_TO)),
-        ("checksum_matches", F.lit(False), WARN, there & (F.col("length") > CHECKSUM_UP_TO)),
+        ("checksum_matches", same_sum, FAIL, there),
         ("format_looks_right", readable, WARN, there),
         ("hospital_name_in_file", named, WARN, there),
     ]
@@ -340,28 +340,21 @@ def file_checks(manifest: DataFrame, run_id: str, files: DataFrame, specs: DataF
     ])
 
 
-def file_facts(spark, paths: Sequence[str], checksum_up_to: int = CHECKSUM_UP_TO) -> DataFrame:
-    """path, length, first bytes and SHA-256 of files. Larger files give their head by a bounded read."""
-    every = spark.read.format("binaryFile").load(list(paths))
-    listed = {r["path"]: r["length"] for r in every.select("path", "length").collect()}
-    usual = [p for p, n in listed.items() if n <= checksum_up_to]
-    large = [(p, n) for p, n in listed.items() if n > checksum_up_to]
-    parts = []
-    if usual:
-        parts.append(spark.read.format("binaryFile").load(usual).select(
-            "path", "length", F.substring("content", 1, HEAD_BYTES).alias("head"),
-            F.sha2("content", 256).alias("sha256"),
-        ))
-    if large:
-        named = spark.createDataFrame(large, "path string, length bigint").repartition(len(large))
-        parts.append(named.mapInPandas(_heads, "path string, length bigint, head binary, sha256 string"))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _heads(batches):
+def file_facts(spark, paths: Sequence[str]) -> DataFrame:
+    """path, length, first bytes and SHA-256 of files of any size, read block by block, one file per task."""
+    listed = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
+    return listed.repartition(len(paths), "path").mapInPandas(_facts, "path string, length bigint, head binary, sha256 string")
+
+
+def _facts(batches):
     for batch in batches:
-        heads = []
+        heads, sums = [], []
         for path in batch["path"]:
             with open_stream(path) as stream:
-                heads.append(stream.read(HEAD_BYTES))
-        yield batch.assign(head=heads, sha256=None)
+                head = stream.read(HEAD_BYTES)
+                running = hashlib.sha256(head)
+                while block := stream.read(_HASH_BLOCK):
+                    running.update(block)
+            heads.append(head)
+            sums.append(running.hexdigest())
+        yield batch.assign(head=heads, sha256=sums)

@@ -6,25 +6,30 @@ from its footers, so it is used wherever a result feeds several later steps.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
+
+def ensure_shared_folder(spark: SparkSession) -> None:
+    """Name a temporary folder in a local session that names none; everywhere else the cluster must name it."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.conf.get("spark.master", "local").startswith("local"):
+        spark.conf.set("spark.checkpoint.dir", _local_folder())
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ratescope-")
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only for local sessions without it."""
-    global _local_root
+    """The folder that spark.checkpoint.dir names; executors and driver must all reach it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/") + "/ratescope"
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not shared:
         raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="ratescope-")
-    return _local_root
+    return shared.rstrip("/") + "/ratescope"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

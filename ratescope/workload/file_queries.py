@@ -16,7 +16,7 @@ from ratescope.schemas import CROSSWALK, PRICE_ITEM
 from ratescope.sinks import tables
 from ratescope.sinks.scratch import scratch_path
 from ratescope.sources.pages import read_pages
-from ratescope.sources.price_csv import price_csv_header, read_price_csv
+from ratescope.sources.price_csv import N_LEADS, count_source_records, price_csv_header, price_csv_headers, read_price_csv
 from ratescope.sources.price_json import price_json_headers, price_json_items
 from ratescope.workload import files, star
 from ratescope.workload.queries import query, rounded, stored_variation
@@ -36,7 +36,7 @@ def _tall(spark: SparkSession, sf_dir: str, slots: int) -> DataFrame:
 # ---------------------------------------------------------------------------- price-file layouts
 @query
 def tall_csv_rates(spark, sf_dir):
-    """Four code slots, billing class, quoted newlines: files are read whole, in parallel."""
+    """Four code slots, billing class, quoted newlines; every file is read in ranges."""
     bronze = _tall(spark, sf_dir, 4)
     staged = staging.stage_tall_csv(bronze, star.procedures(spark), "tall", (1, 2, 3, 4), True, CONFIG)
     return rounded(staged.drop(*_FILE_COLUMNS))
@@ -44,7 +44,7 @@ def tall_csv_rates(spark, sf_dir):
 
 @query
 def tall_csv_featured_rates(spark, sf_dir):
-    """Two code slots, no billing class, featured scope: files are read in splits."""
+    """Two code slots, no billing class, featured scope."""
     bronze = _tall(spark, sf_dir, 2)
     staged = staging.stage_tall_csv(bronze, star.procedures(spark), "tall", (1, 2), False, FEATURED)
     return rounded(staged.drop(*_FILE_COLUMNS))
@@ -127,20 +127,21 @@ def bronze_load(spark, sf_dir):
 
 @query
 def price_csv_records(spark, sf_dir):
-    """Rows per tall file against its records, lead records included."""
-    records, rows = read_price_csv(spark, files.tall_csv(spark, sf_dir, 4))
-    expected = records.agg((F.count("*") - 3 * F.countDistinct("_source_file")).alias("n"))
+    """Rows that the reader gives of the tall files against the records that a sequential parser counts in them."""
+    paths = files.tall_csv(spark, sf_dir, 4)
+    rows = read_price_csv(spark, paths)[1]
+    counted = count_source_records(spark, paths) - N_LEADS * len(paths)
     return rows.agg(F.count("*").alias("n")).select(F.lit("rows").alias("kind"), "n").unionByName(
-        expected.select(F.lit("records").alias("kind"), "n")
+        spark.createDataFrame([("records", counted)], "kind string, n bigint")
     )
 
 
 @query
 def csv_and_json_headers(spark, sf_dir):
     """Metadata name/value rows of every CSV and JSON file, distinct."""
-    csv_rows = [price_csv_header(spark, p) for p in files.tall_csv(spark, sf_dir, 2)[:1]]
+    csv_rows = price_csv_headers(spark, files.tall_csv(spark, sf_dir, 2)).drop("_source_file")
     json_rows = price_json_headers(spark, files.price_json(spark, sf_dir)).drop("_source_file")
-    return csv_rows[0].unionByName(json_rows).distinct()
+    return csv_rows.unionByName(json_rows).distinct()
 
 
 @query

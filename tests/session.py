@@ -1,5 +1,7 @@
 """The local session tests and scripts share."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -12,6 +14,7 @@ def session(partitions: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ratescope-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

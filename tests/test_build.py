@@ -131,7 +131,7 @@ def test_row_counts_are_reconciled(spark, landed):
         "run_id": F.lit("run-2"), "event_ts": F.to_timestamp(F.lit("2026-02-01")), "row_count": F.lit(5),
     })
     tables.append_events(spark.createDataFrame(newer.collect(), schemas.MANIFEST), NAMES.log)
-    with pytest.raises(tables.ReconcileError, match="3 rows in the table, 10 expected"):
+    with pytest.raises(tables.ReconcileError, match="has 3 rows where its source states 10"):
         build.load_page_set(spark, PAGE_SETS[0], NAMES)
 
 

@@ -80,3 +80,28 @@ def test_latest_keeps_one_row_and_puts_nulls_last(spark):
     df = spark.createDataFrame(rows, "k string, e string, s string, v string")
     got = sorted(tuple(r) for r in latest_per_key(df, ["k"], ["e", "s"]).collect())
     assert got == [("a", "01/01/2024", "2", "w"), ("b", None, None, "z")]
+
+
+@pytest.mark.parametrize("inline", [1_000, 0])
+def test_rules_with_missing_cells(spark, inline):
+    rules = spark.createDataFrame(
+        [(2, "acme", "second"), (None, "acme gold", "first"), (1, None, "never"), (3, "acme", "third")],
+        "priority int, pattern string, category string",
+    )
+    df = spark.createDataFrame([("Acme", "Gold"), ("Acme", None), (None, None)], "payer_name string, plan_name string")
+    got = with_payer_category(df, rules, PipelineConfig(max_inline_rows=inline))
+    found = {(r["payer_name"], r["plan_name"]): (r["payer_category"], r["matched_pattern"]) for r in got.collect()}
+    assert found == {("Acme", "Gold"): ("first", "acme gold"), ("Acme", None): ("second", "acme"), (None, None): ("commercial", None)}
+    plan = got._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("inline", [1_000, 0])
+def test_mentioned_codes_stand_in_quotes(spark, inline):
+    from ratescope.operators.lookups import mentioning_codes
+
+    texts = ['{"code":"A1"}', '{"code":"A12"}', 'A1', '"A1', '"x"A1"y"', '{"c":"B"2"}', '""', None, '{"code":"A1"}']
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    codes = spark.createDataFrame([("A1",), ('B"2',), ("",), (None,)], "code string")
+    got = mentioning_codes(items, "t", codes, PipelineConfig(max_inline_rows=inline))
+    assert sorted(r["i"] for r in got.collect()) == [i for i, t in enumerate(texts) if t and any(f'"{c}"' in t for c in ("A1", 'B"2', ""))]
