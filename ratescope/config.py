@@ -50,7 +50,7 @@ class PriceFileSpec:
 
 # ---------------------------------------------------------------------------------------------
 # The published study's datasets, hospitals, procedures and payer rules. They are
-# data, must be equal for equal results, and can be replaced by seed CSVs (sources.seeds).
+# data, must be equal for equal results, and can be replaced by seed CSVs (sources.pages.read_seed).
 # ---------------------------------------------------------------------------------------------
 PAGE_SETS = (
     PageSetSpec("hospital_general_information"),
@@ -110,5 +110,4 @@ FINDER_STATE = "TN"
 GENERIC_NAME_WORDS = ("hospital", "medical", "center", "health", "healthcare", "system", "regional")
 
 REFRESH_AFTER_DAYS = 30
-MAX_COLUMN_NAME = 255
 # --------------------------------------------------------------------------- end of fixed values

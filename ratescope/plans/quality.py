@@ -200,7 +200,8 @@ def page_checks(
         F.coalesce(F.sum("n_corrupt"), F.lit(0)).alias("n_corrupt"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows_on_disk"),
         F.sum(F.coalesce("row_count", F.lit(0))).alias("rows_logged"),
-        F.max("columns").alias("columns"),
+        # The first page that has rows says which columns there are.
+        F.min_by("columns", F.when(F.col("n_rows") > 0, F.col("page_number"))).alias("columns"),
     )
     j = per_key.join(per_page, "dataset_key", "left").join(stale, "dataset_key", "left").join(
         requirements, "dataset_key", "left"

@@ -132,8 +132,6 @@ def test_file_checks(spark, tmp_path):
     assert found["html"]["format_looks_right"] == "warn" and found["html"]["size_matches_manifest"] == "pass"
     assert {k for k, v in found["tiny"].items() if v == "fail"} == {"size_matches_manifest", "min_bytes", "checksum_matches"}
     assert found["twice"]["one_succeeded_row"] == "fail" and found["gone"]["file_exists"] == "fail"
-    import hashlib
-
     saved, quality._HASH_BLOCK = quality._HASH_BLOCK, 7
     try:
         facts = next(quality._facts([pd.DataFrame({"path": [paths["good"]], "length": [1]})])).iloc[0]
