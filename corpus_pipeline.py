@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ratescope.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
 from ratescope.llm.common import read_table, write_stage
+from ratescope.sinks.scratch import ensure_shared_folder
 
 #: The stages fit models, follow links and round at random; SQL can't say that. tests/llm holds the brute-force version.
 ORACLE_SQL = None
@@ -25,22 +26,27 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ensure_shared_folder(spark)
     return quality_rules.keep_good(docs)
 
 
 def drop_crowded_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ensure_shared_folder(spark)
     return _measured(line_dedup.dedup_lines(docs, counts=False))
 
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ensure_shared_folder(spark)
     return near_dedup.first_of_each(docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ensure_shared_folder(spark)
     return _measured(decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ensure_shared_folder(spark)
     mixed = mixing.mix(docs)
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
 
@@ -55,6 +61,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_shared_folder(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = write_stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
