@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,7 @@ HIDDEN = 24
 WINDOW = 16
 LANES = 256
 #: Share of the training documents that each round learns from is 1 / ``SHARE``; tasks that learn side by side.
-ROUNDS, SHARE, TRAINERS = 3, 12, 24
+ROUNDS, SHARE, TRAINERS = 3, 20, 24
 #: Classes of words beyond the head: four alphabets, four endings, four lengths.
 SHAPES = 64
 
@@ -84,22 +84,22 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @dataclass
 class Vocabulary:
-    """Frequent words with their counts, and what is known of the classes of all others."""
+    """Frequent words and what is known of the classes of all others.
 
-    known: dict[bytes, int]
-    head: list[bytes]
+    ``places`` numbers the known words, the head first; ``known_tokens`` and ``known_logs`` hold the model's token and
+    the log10 of count + 1 under that number.
+    """
+
+    places: dict[bytes, int]
+    known_tokens: np.ndarray
+    known_logs: np.ndarray
+    n_head: int
     n_docs: int
     tokens: int
     types: int
     shape_tokens: np.ndarray
     shape_types: np.ndarray
     head_counts: np.ndarray
-    places: dict[bytes, tuple[int, float]] = field(default_factory=dict)
-
-    def index(self) -> None:
-        """Place (head word, or -1) and log10 of count + 1 per known word."""
-        at = {w: i for i, w in enumerate(self.head)}
-        self.places = {w: (at.get(w, -1), math.log10(n + 1)) for w, n in self.known.items()}
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -129,8 +129,10 @@ def vocabulary(counts: DataFrame, n_docs: int, head: int = HEAD, known: int = KN
     for word, n in zip(words[:head], numbers[:head]):
         shape_tokens[shape(word)] -= n
         shape_types[shape(word)] -= 1
+    at = np.array([i if i < head else min(head, len(words)) + shape(w) for i, w in enumerate(words)], dtype=np.int32)
     return Vocabulary(
-        dict(zip(words, numbers.tolist())), words[:head], n_docs, tokens, types, shape_tokens, shape_types, numbers[:head].astype(float)
+        {w: i for i, w in enumerate(words)}, at, np.log10(numbers + 1.0), min(head, len(words)), n_docs, tokens, types,
+        shape_tokens, shape_types, numbers[:head].astype(float),
     )
 
 
@@ -272,23 +274,22 @@ class Lanes:
             yield inputs, tokens, owners, fresh
 
 
-def model_tokens(words: list[bytes], vocabulary: Vocabulary, shapes: dict) -> np.ndarray:
-    n_head = len(vocabulary.head)
+def model_tokens(words: list[bytes], vocabulary: Vocabulary, shapes: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The model's tokens of a text, its end included, and the numbers of its known words (-1: not known)."""
+    get, n_head = vocabulary.places.get, vocabulary.n_head
+    at = np.array([get(w, -1) for w in words], dtype=np.int64)
     out = np.empty(len(words) + 1, dtype=np.int32)
-    places = vocabulary.places
-    for i, word in enumerate(words):
-        found = places.get(word)
-        if found is not None and found[0] >= 0:
-            out[i] = found[0]
-        else:
-            kind = shapes.get(word)
-            if kind is None:
-                if len(shapes) > 300_000:
-                    shapes.clear()
-                kind = shapes[word] = n_head + shape(word)
-            out[i] = kind
+    known = at >= 0
+    out[:-1][known] = vocabulary.known_tokens[at[known]]
+    for i in np.flatnonzero(~known).tolist():
+        kind = shapes.get(words[i])
+        if kind is None:
+            if len(shapes) > 300_000:
+                shapes.clear()
+            kind = shapes[words[i]] = n_head + shape(words[i])
+        out[i] = kind
     out[-1] = n_head + SHAPES
-    return out
+    return out, at
 
 
 def learn(network: Network, documents: list[np.ndarray], moments: dict, rate: float, window: int = WINDOW, lanes: int = 64) -> int:
@@ -347,10 +348,9 @@ def _adam(values: np.ndarray, slope: np.ndarray, moments: dict, name: str, rows,
 def _trainer(sent, rate: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary, network = sent.value
-        vocabulary.index()
         moments, shapes, seen = {"step": 0}, {}, 0
         for batch in batches:
-            documents = [model_tokens(token_words(t), vocabulary, shapes) for t in batch["text"]]
+            documents = [model_tokens(token_words(t), vocabulary, shapes)[0] for t in batch["text"]]
             if documents:
                 seen += learn(network, documents, moments, rate)
         if seen:
@@ -389,35 +389,26 @@ def train(training: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, sha
 def _scorer(sent):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary, network = sent.value
-        vocabulary.index()
-        places, shapes = vocabulary.places, {}
+        shapes: dict = {}
         log_base = math.log10(vocabulary.tokens + vocabulary.types + 1)
-        end_count = vocabulary.n_docs
+        end_count, n_head = vocabulary.n_docs, vocabulary.n_head
         rest = np.log10(vocabulary.shape_tokens + vocabulary.shape_types + 1)
-        n_head = len(vocabulary.head)
         for batch in batches:
             if not len(batch):
                 continue
             documents, base, known, rare, extra = [], [], [], [], []
             for text in batch["text"]:
                 words = token_words(text)
-                total, hits, unknown, beyond = math.log10(end_count + 1), int(end_count > 0), [], 0.0
-                for word in words:
-                    found = places.get(word)
-                    if found is None:
-                        unknown.append(word)
-                    else:
-                        hits += 1
-                        total += found[1]
-                        if found[0] < 0:
-                            beyond += found[1]
-                tokens = model_tokens(words, vocabulary, shapes)
+                tokens, at = model_tokens(words, vocabulary, shapes)
+                held = at[at >= 0]
+                logs = vocabulary.known_logs[held]
                 kinds = tokens[tokens >= n_head] - n_head
                 documents.append(tokens)
-                base.append(total - (len(words) + 1) * log_base)
-                extra.append(beyond - rest[kinds[kinds < SHAPES]].sum())
-                known.append(hits)
-                rare.append([{"word": w, "n": n} for w, n in Counter(unknown).items()])
+                base.append(math.log10(end_count + 1) + logs.sum() - len(tokens) * log_base)
+                extra.append(logs[held >= n_head].sum() - rest[kinds[kinds < SHAPES]].sum())
+                known.append(len(held) + int(end_count > 0))
+                unknown = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
+                rare.append([{"word": w, "n": n} for w, n in unknown.items()])
             model = score_documents(network, documents) / math.log(10) + np.array(extra)
             yield pd.DataFrame({
                 "row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": [len(d) for d in documents], "n_known": known, "base": base, "model": model, "rare": rare,
