@@ -7,12 +7,12 @@ streaming pass over each partition names the neighbours; a pair is taken up once
 values. Two documents at the threshold share such a prefix in some tree with a probability of 1 - 2e-7.
 
 Documents with the same set of shingles are one member for the forest. The first round takes each member's closest
-earlier neighbour, later rounds the closest neighbours of other components, until no pair is left unseen. Every link is
-confirmed on the full sets, and components come from an edge table.
+neighbours, later rounds the closest neighbours of other components, until no pair is left unseen. Every link is confirmed
+on the full sets, and components come from a table of links.
 
 Null texts and texts without words have an empty set and stay alone. A null doc_id gives a null component and is kept.
-Rows that repeat a doc_id are one document in the counts of components: the one with ``kept`` is each row whose doc_id
-is its component; ``first_of_each`` keeps the row with the smallest text among them. A table without rows gives no rows.
+Rows that repeat a doc_id are one node with the links of all its rows, and are kept or dropped together. A table without
+rows gives no rows.
 """
 
 from __future__ import annotations
@@ -37,8 +37,12 @@ MIN_DEPTH = 3
 #: Values of a tree's order that travel with a row; deeper ties are near copies in any case.
 DEPTH = 12
 SIGNATURE = TREES * 6
+#: Neighbours that each member is compared with at first; enough to join nearly all of a large group.
+FIRST_LINKS = 2
 #: Neighbouring components looked at from each row in later rounds.
-NEIGHBOURS = 8
+NEIGHBOURS = 1
+#: Components that a row of a crowded region looks back at for them; the region's order brings the likeliest ones first.
+LOOK_BACK = 24
 _BLOCK = 1 << 13
 
 _SIGNED = "doc_id bigint, n_shingles bigint, set_key binary, signature binary"
@@ -81,19 +85,25 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.astype({"doc_id": "Int64"})
 
 
-def _orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row per member and tree: the signature from the tree's own place on, wrapped around."""
-    width = SIGNATURE // TREES
-    for batch in batches:
-        if not len(batch):
-            continue
-        signs = np.frombuffer(b"".join(batch["signature"]), dtype=np.uint8).reshape(len(batch), -1)
-        twice = np.concatenate([signs, signs], axis=1)
-        for tree in range(TREES):
-            first = 2 * tree * width
-            keys = np.ascontiguousarray(twice[:, first:first + 2 * DEPTH])
-            order = [bytes([tree]) + k.tobytes() for k in keys]
-            yield pd.DataFrame({"place": order, "node": batch["node"].to_numpy(), "root": batch["root"].to_numpy()})
+def _orders(whole: bool):
+    """A row per member and tree: the signature from the tree's own place on, wrapped around; ``whole`` sends all of it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        width = SIGNATURE // TREES
+        for batch in batches:
+            if not len(batch):
+                continue
+            signs = np.frombuffer(b"".join(batch["signature"]), dtype=np.uint8).reshape(len(batch), -1)
+            twice = np.concatenate([signs, signs], axis=1)
+            # A byte of each value is enough to compare two signatures.
+            sent = [x.tobytes() for x in signs[:, 1::2]] if whole else None
+            for tree in range(TREES):
+                first = 2 * tree * width
+                keys = np.ascontiguousarray(twice[:, first:first + 2 * DEPTH])
+                order = [bytes([tree]) + k.tobytes() for k in keys]
+                yield pd.DataFrame({"place": order, "node": batch["node"].to_numpy(), "root": batch["root"].to_numpy(), "signature": sent})
+
+    return run
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -110,48 +120,48 @@ def _shared(a: bytes, b: bytes, depth: int) -> bool:
     return a[: 1 + 2 * depth] == b[: 1 + 2 * depth]
 
 
+#: Agreement of signatures below which a pair of a later round is not compared in full: 3.5 deviations below the threshold.
+_LEAST_AGREEMENT = 0.72
+
+
 def _neighbours(most: int):
-    """For each row the closest earlier rows of other components in its region, at most ``most`` of them."""
+    """For each row the closest earlier rows of other components in its region, at most ``most`` of them.
+
+    Where signatures travel along, the pairs that agree best are named, and only such as may be similar enough.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        recent: OrderedDict[int, tuple[bytes, int]] = OrderedDict()
+        recent: OrderedDict[int, tuple[bytes, int, np.ndarray | None]] = OrderedDict()
         for batch in batches:
             a, b, depth = [], [], []
-            for place, node, root in zip(batch["place"], batch["node"].tolist(), batch["root"].tolist()):
+            for place, node, root, sign in zip(batch["place"], batch["node"].tolist(), batch["root"].tolist(), batch["signature"]):
                 place = bytes(place)
+                sign = None if sign is None else np.frombuffer(sign, dtype=np.uint8)
                 if recent:
                     last = next(reversed(recent.values()))[0]
                     if not _shared(last, place, MIN_DEPTH):
                         recent.clear()
-                seen = 0
-                for other, (where, neighbour) in reversed(recent.items()):
-                    if other == root:
-                        continue
+                near = []
+                for other, (where, neighbour, its) in reversed(recent.items()):
+                    if other != root:
+                        same = SIGNATURE if sign is None else int(np.count_nonzero(sign == its))
+                        if same >= _LEAST_AGREEMENT * SIGNATURE:
+                            near.append((same, neighbour, where))
+                        if sign is None and len(near) == most:
+                            break
+                for _, neighbour, where in sorted(near, key=lambda x: -x[0])[:most]:
                     a.append(node)
                     b.append(neighbour)
                     depth.append(_common(where, place))
-                    seen += 1
-                    if seen == most:
-                        break
                 recent.pop(root, None)
-                recent[root] = (place, node)
-                if len(recent) > most + 1:
+                recent[root] = (place, node, sign)
+                if len(recent) > (1 if sign is None else LOOK_BACK) + 1:
                     recent.popitem(last=False)
             yield pd.DataFrame({"a": np.array(a, dtype="int64"), "b": np.array(b, dtype="int64"), "depth": np.array(depth, dtype="int32")})
 
     return run
 
 
-def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    left = np.frombuffer(b"".join(a), dtype=">u2").reshape(len(a), -1)
-    right = np.frombuffer(b"".join(b), dtype=">u2").reshape(len(b), -1)
-    return pd.Series((left == right).mean(axis=1))
-
-
-#: Estimated similarity below which a pair of a later round is not compared in full; six deviations below the threshold.
-_LEAST_ESTIMATE = 0.63
-
-
 def _confirm(similar: int):
     """Pairs whose full sets are similar enough; both texts are in the row."""
 
@@ -192,12 +202,16 @@ def _forest(members: DataFrame, roots: DataFrame | None, most: int) -> DataFrame
         placed = members.join(known, F.col("node") == F.col("_node"), "left").select(
             "node", F.coalesce("root", "node").alias("root"), "signature"
         )
-    rows = placed.mapInPandas(_orders, "place binary, node bigint, root bigint")
+    rows = placed.mapInPandas(_orders(roots is not None), "place binary, node bigint, root bigint, signature binary")
     # Sampling decides only where partitions end; a neighbour lost there in one tree is one in the others.
     dealt = rows.repartitionByRange(shuffle_slots(members.sparkSession), "place", "node").sortWithinPartitions("place", "node")
     return dealt.mapInPandas(_neighbours(most), _NEAR)
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def near_components(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     signed = signatures(docs)
@@ -207,43 +221,25 @@ def near_components(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     )
     members = groups.select("node", "signature")
 
-    # Round 1: of each member's close neighbours with smaller ids the closest, and among equally close ones the smallest,
-    # which keeps chains short.
-    ordered = _forest(members, None, 1).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "depth")
-    closest = F.max_by("b", F.struct(F.least("depth", F.lit(SIGNATURE // TREES)), -F.col("b")))
-    first = ordered.groupBy("a").agg(closest.alias("b"), F.collect_set("b").alias("others"))
-    first = write_stage(first, "forest-neighbours")
-    near = first.select("a", F.explode("others").alias("b"))
-    nodes = write_stage(
-        near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "forest-near-nodes"
-    )
-    near_members = members.join(few_rows(nodes), "node")
-    texts = write_stage(
-        docs.select(F.col("doc_id").alias("node"), "text").join(few_rows(nodes), "node"),
-        "forest-texts",
-    )
-    near_members = write_stage(near_members, "forest-near-members")
-
-    roots = None
-    pairs = first.select("a", "b")
-    tried = None
+    # Round 1: each member's closest neighbours, by the longest prefix of any tree.
+    near = _forest(members, None, 1).groupBy("a", "b").agg(F.max("depth").alias("depth"))
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "depth"))
+    by_depth = F.sort_array(F.collect_set(F.struct(-F.col("depth"), F.xxhash64("a", "b"), F.col("b").alias("b"))))
+    first = both.groupBy("a").agg(F.slice(by_depth, 1, FIRST_LINKS).alias("closest"))
+    first = write_stage(first.select("a", F.explode("closest.b").alias("b")), "forest-neighbours")
+    nodes = few_rows(write_stage(first.select(F.col("a").alias("node")).distinct(), "forest-near-nodes"))
+    near_members = write_stage(members.join(nodes, "node"), "forest-near-members")
+    texts = write_stage(docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node"), "forest-texts")
+
+    roots, tried = None, None
+    pairs = _ordered(first)
     while True:
         outcome = write_stage(_confirmed(pairs, texts, similar), "forest-outcome")
         tried = outcome if tried is None else tried.unionByName(outcome)
         roots = joined_roots(roots, outcome.where("linked"))
-        found = _forest(near_members, roots, NEIGHBOURS).select(
-            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-        ).distinct()
-        done = tried.select(F.greatest("a", "b").alias("_a"), F.least("a", "b").alias("_b"))
-        fresh = found.join(done, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-        sign = near_members.select(F.col("node").alias("_n"), F.col("signature"))
-        left, right = sign.toDF("_na", "sa"), sign.toDF("_nb", "sb")
-        agreement = F.pandas_udf(_agreement, "double")
-        likely = (
-            fresh.join(left, F.col("a") == F.col("_na")).join(right, F.col("b") == F.col("_nb"))
-            .where(agreement("sa", "sb") >= _LEAST_ESTIMATE).select("a", "b")
-        )
-        pairs = write_stage(likely, "forest-pairs")
+        done = few_rows(tried.select(F.col("a").alias("_a"), F.col("b").alias("_b")))
+        found = _ordered(_forest(near_members, roots, NEIGHBOURS))
+        pairs = write_stage(found.join(done, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "forest-pairs")
         if pairs.isEmpty():
             break
 
