@@ -4,8 +4,8 @@ Words are counted over all training documents by Spark. The ``HEAD`` most freque
 the model; all other words, seen or not, belong to a few classes by their shape, and within such a class a word has its
 add-one share of the class. The recurrent network gives the class of the next word, and within a class of frequent words
 the word, each by a softmax of its own, so a step costs about the root of the vocabulary. It is trained by truncated
-backpropagation in numpy on a fixed share of the training documents, in Spark tasks whose parameters are averaged after
-each round. In scoring, documents run side by side in lanes and the state is carried from window to window, so a score
+backpropagation in numpy on all training documents, each in one of the rounds, in Spark tasks whose parameters are
+averaged after each round. In scoring, documents run side by side in lanes and the state is carried from window to window, so a score
 is the log-likelihood of the complete document.
 
 Counts of the ``KNOWN`` most frequent words travel to the scoring tasks (some 30 MB at most); counts of all others are
@@ -35,8 +35,8 @@ KNOWN = 300_000
 HIDDEN = 24
 WINDOW = 16
 LANES = 256
-#: Share of the training documents that each round learns from is 1 / ``SHARE``; tasks that learn side by side.
-ROUNDS, SHARE, TRAINERS = 3, 20, 24
+#: The rounds deal all training documents out among themselves; tasks that learn side by side.
+ROUNDS, TRAINERS = 3, 24
 #: Classes of words beyond the head: four alphabets, four endings, four lengths.
 SHAPES = 64
 
@@ -147,6 +147,8 @@ class Network:
         self.classes = -(-self.n_head // self.width)
         self.end = self.classes + SHAPES
         self.hidden = hidden
+        #: Tokens learned from.
+        self.seen = 0
         # Head words are numbered by frequency, so a class is a run of similar frequencies. One more input starts a text.
         rng = np.random.default_rng(9)
         n_inputs = self.n_head + SHAPES + 1
@@ -234,7 +236,7 @@ class Network:
 
 
 class Lanes:
-    """Documents side by side: each lane takes the next document when its own has ended."""
+    """Documents side by side: each lane takes the next document when its own has ended, and goes when none is left."""
 
     def __init__(self, documents: list[np.ndarray], lanes: int):
         self.waiting = sorted(range(len(documents)), key=lambda i: len(documents[i]))
@@ -243,8 +245,13 @@ class Lanes:
         self.at = np.zeros(self.width, dtype=np.int64)
 
     def windows(self, size: int, start_input: int) -> Iterator[tuple]:
-        """inputs, tokens and owners of the next ``size`` steps (owner -1: idle), and which lanes began at each step."""
+        """Lanes still there of the last window, inputs, tokens and owners of the next ``size`` steps (owner -1: idle), and
+        which lanes began at each step."""
         while True:
+            there = np.flatnonzero((self.owner >= 0) | bool(self.waiting))
+            self.owner, self.at, self.width = self.owner[there], self.at[there], len(there)
+            if not len(there):
+                return
             inputs = np.full((size, self.width), start_input, dtype=np.int64)
             tokens = np.zeros((size, self.width), dtype=np.int64)
             owners = np.full((size, self.width), -1, dtype=np.int64)
@@ -269,9 +276,7 @@ class Lanes:
                     self.at[lane] = at + n
                     if at + n == len(document):
                         self.owner[lane] = -1
-            if (owners < 0).all():
-                return
-            yield inputs, tokens, owners, fresh
+            yield there, inputs, tokens, owners, fresh
 
 
 def model_tokens(words: list[bytes], vocabulary: Vocabulary, shapes: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -292,13 +297,13 @@ def model_tokens(words: list[bytes], vocabulary: Vocabulary, shapes: dict) -> tu
     return out, at
 
 
-def learn(network: Network, documents: list[np.ndarray], moments: dict, rate: float, window: int = WINDOW, lanes: int = 64) -> int:
+def learn(network: Network, documents: list[np.ndarray], moments: dict, rate: float, window: int = WINDOW, lanes: int = LANES) -> int:
     """Truncated backpropagation by Adam through all documents; the state goes on from window to window."""
     k, seen = network.hidden, 0
     running = Lanes(documents, lanes)
     h = np.zeros((running.width, k), dtype=np.float32)
-    for inputs, tokens, owners, fresh in running.windows(window, network.n_head + SHAPES):
-        trail, states = [], []
+    for there, inputs, tokens, owners, fresh in running.windows(window, network.n_head + SHAPES):
+        h, trail, states = h[there], [], []
         for t in range(window):
             h = np.where(fresh[t][:, None], 0, h).astype(np.float32)
             new, reset, keep, new_part, looped = network.step(h, inputs[t])
@@ -364,25 +369,26 @@ def _trainer(sent, rate: float):
     return run
 
 
-def train(training: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, share: int = SHARE, trainers: int = TRAINERS) -> Network:
-    """Each round learns from another share of the training documents, side by side in at most ``trainers`` tasks."""
+def train(training: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, trainers: int = TRAINERS) -> Network:
+    """Each round learns from other documents, side by side in at most ``trainers`` tasks; together they learn from all."""
     spark = training.sparkSession
     network = Network(vocabulary.head_counts, vocabulary.shape_tokens, vocabulary.n_docs)
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(share * 1000))
+    turn = F.pmod(F.xxhash64("doc_id"), F.lit(rounds))
     for at in range(rounds):
         sent = spark.sparkContext.broadcast((vocabulary, network))
-        chosen = training.where(F.floor(bucket / 1000) == at).select("text")
+        chosen = training.where(turn == at).select("text")
         parts = chosen.repartition(trainers).mapInPandas(_trainer(sent, 0.01 / (1 + at)), _PIECE)
         weight = F.sum("weight").alias("weight")
         summed = (
             parts.select("piece", "weight", F.posexplode("values").alias("place", "value"))
             .groupBy("piece", "place").agg(weight, F.sum(F.col("value").cast("double")).alias("value"))
             .groupBy("piece").agg(F.first("weight").alias("weight"), F.sort_array(F.collect_list(F.struct("place", "value"))).alias("all"))
-            .select("piece", F.transform("all", lambda x: x["value"] / F.col("weight")).alias("values"))
+            .select("piece", F.transform("all", lambda x: x["value"] / F.col("weight")).alias("values"), "weight")
         )
         got = sorted(summed.collect())
         if got:
             network.load(np.concatenate([np.array(r["values"]) for r in got]))
+            network.seen += int(got[0]["weight"])
     return network
 
 
@@ -422,8 +428,8 @@ def score_documents(network: Network, documents: list[np.ndarray], window: int =
     out = np.zeros(len(documents))
     running = Lanes(documents, lanes)
     h = np.zeros((running.width, network.hidden), dtype=np.float32)
-    for inputs, tokens, owners, fresh in running.windows(window, network.n_head + SHAPES):
-        states = []
+    for there, inputs, tokens, owners, fresh in running.windows(window, network.n_head + SHAPES):
+        h, states = h[there], []
         for t in range(window):
             if fresh[t].any():
                 h = np.where(fresh[t][:, None], np.float32(0), h)

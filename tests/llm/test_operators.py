@@ -236,6 +236,16 @@ def test_language_model_beats_the_counts_on_held_out_documents(spark):
     assert sum(r["score"] for r in found) > sum(r["base_score"] for r in found) + 0.03 * sum(r["n_tokens"] for r in found)
 
 
+def test_language_model_learns_from_every_training_token(spark, folder):
+    from ratescope.llm import language_model
+    from ratescope.llm.common import documents
+
+    docs = documents(spark, folder)
+    training = docs.where(docs.doc_id.isNotNull() & ~language_model.held_out(docs.doc_id))
+    known = language_model.vocabulary(language_model.word_counts(training), training.count())
+    assert language_model.train(training, known).seen == known.tokens > 0
+
+
 def test_language_model_is_a_distribution():
     import numpy as np
 
