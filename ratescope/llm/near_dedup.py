@@ -3,12 +3,14 @@
 A signature is sorted in several orders, one per tree: tree t starts at its own part of the signature. In a sorted order
 documents with long common prefixes are neighbours, whatever depth it takes to tell them apart from the rest of their
 region, so there is no fixed bucket and no bucket can grow too large. Trees are range-partitioned by their order, and a
-streaming pass over each partition names the neighbours; a pair is taken up once its common prefix has ``MIN_DEPTH``
-values. Two documents at the threshold share such a prefix in some tree with a probability of 1 - 2e-7.
+streaming pass over each partition names the neighbours. Rows of a tree that share their first values, as many as
+``least_depth`` says, are a region. Two documents at the threshold share a region in some tree with a probability of
+1 - 2.5e-7 at least.
 
-Documents with the same set of shingles are one member for the forest. The first round takes each member's closest
-neighbours, later rounds the closest neighbours of other components, until no pair is left unseen. Every link is confirmed
-on the full sets, and components come from a table of links.
+Documents with the same set of shingles are one member for the forest. A first round joins each member's closest
+neighbours. Then every region that still holds several components is cut into blocks, blocks meet in pairs, and all pairs
+of members of different components are compared on their full sets: none is left out, whatever the size of the region, so
+the work grows with the square of a region that doesn't join in the first round. Components come from a table of links.
 
 Null texts and texts without words have an empty set and stay alone. A null doc_id gives a null component and is kept.
 Rows that repeat a doc_id are one node with the links of all its rows, and are kept or dropped together. A table without
@@ -17,7 +19,6 @@ rows gives no rows.
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,16 +34,15 @@ SHINGLE = 5
 #: Least similarity of a link, in percent.
 SIMILAR = 85
 TREES = 16
-MIN_DEPTH = 3
+#: Most that two documents at the threshold may be missed by all trees.
+MISSED = 2.5e-7
 #: Values of a tree's order that travel with a row; deeper ties are near copies in any case.
 DEPTH = 12
 SIGNATURE = TREES * 6
 #: Neighbours that each member is compared with at first; enough to join nearly all of a large group.
 FIRST_LINKS = 2
-#: Neighbouring components looked at from each row in later rounds.
-NEIGHBOURS = 1
-#: Components that a row of a crowded region looks back at for them; the region's order brings the likeliest ones first.
-LOOK_BACK = 24
+#: Rows and bytes of shingles that a block of a region holds, about.
+BLOCK_ROWS, BLOCK_BYTES = 1_000, 4_000_000
 _BLOCK = 1 << 13
 
 _SIGNED = "doc_id bigint, n_shingles bigint, set_key binary, signature binary"
@@ -85,25 +85,26 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.astype({"doc_id": "Int64"})
 
 
-def _orders(whole: bool):
-    """A row per member and tree: the signature from the tree's own place on, wrapped around; ``whole`` sends all of it."""
+def least_depth(similar: int) -> int:
+    """Most values that two documents at the threshold still share at the start of some tree, but for ``MISSED``."""
+    depth = 1
+    while depth < DEPTH and (1 - (similar / 100) ** (depth + 1)) ** TREES <= MISSED:
+        depth += 1
+    return depth
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        width = SIGNATURE // TREES
-        for batch in batches:
-            if not len(batch):
-                continue
-            signs = np.frombuffer(b"".join(batch["signature"]), dtype=np.uint8).reshape(len(batch), -1)
-            twice = np.concatenate([signs, signs], axis=1)
-            # A byte of each value is enough to compare two signatures.
-            sent = [x.tobytes() for x in signs[:, 1::2]] if whole else None
-            for tree in range(TREES):
-                first = 2 * tree * width
-                keys = np.ascontiguousarray(twice[:, first:first + 2 * DEPTH])
-                order = [bytes([tree]) + k.tobytes() for k in keys]
-                yield pd.DataFrame({"place": order, "node": batch["node"].to_numpy(), "root": batch["root"].to_numpy(), "signature": sent})
 
-    return run
+def _orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row per member and tree: the signature from the tree's own place on, wrapped around."""
+    width = SIGNATURE // TREES
+    for batch in batches:
+        if not len(batch):
+            continue
+        signs = np.frombuffer(b"".join(batch["signature"]), dtype=np.uint8).reshape(len(batch), -1)
+        twice = np.concatenate([signs, signs], axis=1)
+        for tree in range(TREES):
+            first = 2 * tree * width
+            keys = np.ascontiguousarray(twice[:, first:first + 2 * DEPTH])
+            yield pd.DataFrame({"place": [bytes([tree]) + k.tobytes() for k in keys], "node": batch["node"].to_numpy()})
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -120,44 +121,27 @@ def _shared(a: bytes, b: bytes, depth: int) -> bool:
     return a[: 1 + 2 * depth] == b[: 1 + 2 * depth]
 
 
-#: Agreement of signatures below which a pair of a later round is not compared in full: 3.5 deviations below the threshold.
-_LEAST_AGREEMENT = 0.72
-
-
-def _neighbours(most: int):
-    """For each row the closest earlier rows of other components in its region, at most ``most`` of them.
-
-    Where signatures travel along, the pairs that agree best are named, and only such as may be similar enough.
-    """
+def _neighbours(least: int):
+    """For each row the row before it, if in its region; a partition's first and last row with themselves."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        recent: OrderedDict[int, tuple[bytes, int, np.ndarray | None]] = OrderedDict()
+        last = None
         for batch in batches:
             a, b, depth = [], [], []
-            for place, node, root, sign in zip(batch["place"], batch["node"].tolist(), batch["root"].tolist(), batch["signature"]):
+            for place, node in zip(batch["place"], batch["node"].tolist()):
                 place = bytes(place)
-                sign = None if sign is None else np.frombuffer(sign, dtype=np.uint8)
-                if recent:
-                    last = next(reversed(recent.values()))[0]
-                    if not _shared(last, place, MIN_DEPTH):
-                        recent.clear()
-                near = []
-                for other, (where, neighbour, its) in reversed(recent.items()):
-                    if other != root:
-                        same = SIGNATURE if sign is None else int(np.count_nonzero(sign == its))
-                        if same >= _LEAST_AGREEMENT * SIGNATURE:
-                            near.append((same, neighbour, where))
-                        if sign is None and len(near) == most:
-                            break
-                for _, neighbour, where in sorted(near, key=lambda x: -x[0])[:most]:
+                if last is None:
+                    a.append(node)
+                    b.append(node)
+                    depth.append(0)
+                elif _shared(last[0], place, least):
                     a.append(node)
-                    b.append(neighbour)
-                    depth.append(_common(where, place))
-                recent.pop(root, None)
-                recent[root] = (place, node, sign)
-                if len(recent) > (1 if sign is None else LOOK_BACK) + 1:
-                    recent.popitem(last=False)
+                    b.append(last[1])
+                    depth.append(_common(last[0], place))
+                last = place, node
             yield pd.DataFrame({"a": np.array(a, dtype="int64"), "b": np.array(b, dtype="int64"), "depth": np.array(depth, dtype="int32")})
+        if last is not None:
+            yield pd.DataFrame({"a": [last[1]], "b": [last[1]], "depth": np.zeros(1, dtype="int32")})
 
     return run
 
@@ -193,19 +177,93 @@ def signatures(docs: DataFrame) -> DataFrame:
     return write_stage(docs.select("doc_id", "text").mapInPandas(_sign, _SIGNED), "forest-signatures")
 
 
-def _forest(members: DataFrame, roots: DataFrame | None, most: int) -> DataFrame:
-    """Pairs of close members of different components."""
-    if roots is None:
-        placed = members.select("node", F.col("node").alias("root"), "signature")
-    else:
-        known = roots.select(F.col("node").alias("_node"), "root")
-        placed = members.join(known, F.col("node") == F.col("_node"), "left").select(
-            "node", F.coalesce("root", "node").alias("root"), "signature"
-        )
-    rows = placed.mapInPandas(_orders(roots is not None), "place binary, node bigint, root bigint, signature binary")
-    # Sampling decides only where partitions end; a neighbour lost there in one tree is one in the others.
-    dealt = rows.repartitionByRange(shuffle_slots(members.sparkSession), "place", "node").sortWithinPartitions("place", "node")
-    return dealt.mapInPandas(_neighbours(most), _NEAR)
+def _places(members: DataFrame) -> DataFrame:
+    return members.select("node", "signature").mapInPandas(_orders, "place binary, node bigint")
+
+
+def _forest(members: DataFrame, least: int) -> DataFrame:
+    """Pairs of neighbours; members whose region may go on in another partition are paired with themselves."""
+    dealt = _places(members).repartitionByRange(shuffle_slots(members.sparkSession), "place", "node").sortWithinPartitions("place", "node")
+    return dealt.mapInPandas(_neighbours(least), _NEAR)
+
+
+def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = WordHashes()
+    for batch in batches:
+        yield pd.DataFrame({"node": batch["node"], "shingles": [shingle_set(t, hashes).tobytes() for t in batch["text"]]})
+
+
+def block_links(left: list[bytes], left_roots: np.ndarray, right: list[bytes], right_roots: np.ndarray, similar: int) -> list[tuple[int, int]]:
+    """Pairs of different roots that join all that similar pairs of the two blocks join."""
+    sizes = np.array([len(x) // 8 for x in [*left, *right]], dtype=np.int64)
+    _, ids = np.unique(np.frombuffer(b"".join([*left, *right]), dtype=np.uint64), return_inverse=True)
+    ends = np.cumsum(sizes)
+    cut = int(sizes[: len(left)].sum())
+    others, to = ids[cut:], ends[len(left):] - cut
+    size = sizes[len(left):]
+    held = np.zeros(int(ids.max(initial=0)) + 1, dtype=bool)
+    total = np.zeros(len(others) + 1, dtype=np.int64)
+    up: dict[int, int] = {}
+    found = []
+
+    def top(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+
+    for i, root in enumerate(left_roots.tolist()):
+        if (right_roots == root).all():
+            continue
+        mine = ids[ends[i] - sizes[i]:ends[i]]
+        held[mine] = True
+        np.cumsum(held[others], out=total[1:])
+        held[mine] = False
+        both = total[to] - total[to - size]
+        linked = (right_roots != root) & (100 * both >= similar * (sizes[i] + size - both))
+        for other in np.unique(right_roots[linked]).tolist():
+            x, y = top(root), top(other)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                found.append((root, other))
+    return found
+
+
+def _compare(similar: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            links = []
+            for left, roots, right, others in zip(batch["shingles"], batch["roots"], batch["_shingles"], batch["_roots"]):
+                links += block_links(list(left), np.asarray(roots), list(right), np.asarray(others), similar)
+            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _region_links(members: DataFrame, roots: DataFrame, texts: DataFrame, least: int, similar: int) -> DataFrame:
+    """Links between components, from all pairs of members of one region and different components."""
+    known = roots.select(F.col("node").alias("_node"), "root")
+    rooted = members.select("node", "n_shingles").join(known, F.col("node") == F.col("_node"), "left").select(
+        F.col("node").alias("_node"), "n_shingles", F.coalesce("root", "node").alias("root")
+    )
+    rooted = few_rows(write_stage(rooted, "forest-rooted"))
+    placed = _places(members).select(F.substring("place", 1, 1 + 2 * least).alias("region"), "node")
+    placed = write_stage(placed.join(rooted, F.col("node") == F.col("_node")).drop("_node"), "forest-regions")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") * 8 / BLOCK_BYTES)).cast("int")
+    open_ = placed.groupBy("region").agg(F.min("root").alias("least"), F.max("root").alias("most"), blocks.alias("blocks"))
+    open_ = write_stage(open_.where("least < most").select(F.col("region").alias("_region"), "blocks"), "forest-open-regions")
+    rows = placed.join(few_rows(open_), F.col("region") == F.col("_region")).select("region", "blocks", "node", "root")
+    rows = write_stage(rows, "forest-open-rows")
+    wanted = few_rows(write_stage(rows.select("node").distinct(), "forest-open-nodes"))
+    sets = texts.join(wanted, "node").mapInPandas(_sets, "node bigint, shingles binary")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    packed = rows.join(sets, "node").groupBy("region", "blocks", block.alias("block")).agg(
+        F.collect_list("root").alias("roots"), F.collect_list("shingles").alias("shingles")
+    )
+    packed = write_stage(packed, "forest-blocks")
+    left = packed.select("region", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"), "roots", "shingles")
+    right = packed.select(F.col("region").alias("_region"), "block", F.col("roots").alias("_roots"), F.col("shingles").alias("_shingles"))
+    met = left.join(right, (F.col("region") == F.col("_region")) & (F.col("other") == F.col("block")))
+    return met.select("roots", "shingles", "_roots", "_shingles").mapInPandas(_compare(similar), "a bigint, b bigint")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -217,31 +275,28 @@ def near_components(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     signed = signatures(docs)
     full = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     groups = write_stage(
-        full.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "forest-members"
+        full.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")), "forest-members"
     )
-    members = groups.select("node", "signature")
+    members = groups.select("node", "signature", "n_shingles")
+    least = least_depth(similar)
 
     # Round 1: each member's closest neighbours, by the longest prefix of any tree.
-    near = _forest(members, None, 1).groupBy("a", "b").agg(F.max("depth").alias("depth"))
+    named = write_stage(_forest(members, least).groupBy("a", "b").agg(F.max("depth").alias("depth")), "forest-neighbours")
+    near = named.where("a != b")
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "depth"))
     by_depth = F.sort_array(F.collect_set(F.struct(-F.col("depth"), F.xxhash64("a", "b"), F.col("b").alias("b"))))
     first = both.groupBy("a").agg(F.slice(by_depth, 1, FIRST_LINKS).alias("closest"))
-    first = write_stage(first.select("a", F.explode("closest.b").alias("b")), "forest-neighbours")
-    nodes = few_rows(write_stage(first.select(F.col("a").alias("node")).distinct(), "forest-near-nodes"))
+    first = first.select("a", F.explode("closest.b").alias("b"))
+    nodes = few_rows(write_stage(named.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "forest-near-nodes"))
     near_members = write_stage(members.join(nodes, "node"), "forest-near-members")
     texts = write_stage(docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node"), "forest-texts")
 
-    roots, tried = None, None
-    pairs = _ordered(first)
-    while True:
-        outcome = write_stage(_confirmed(pairs, texts, similar), "forest-outcome")
-        tried = outcome if tried is None else tried.unionByName(outcome)
-        roots = joined_roots(roots, outcome.where("linked"))
-        done = few_rows(tried.select(F.col("a").alias("_a"), F.col("b").alias("_b")))
-        found = _ordered(_forest(near_members, roots, NEIGHBOURS))
-        pairs = write_stage(found.join(done, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "forest-pairs")
-        if pairs.isEmpty():
-            break
+    outcome = write_stage(_confirmed(_ordered(first), texts, similar), "forest-outcome")
+    roots = joined_roots(None, outcome.where("linked"))
+
+    # Round 2: what is still apart within a region.
+    links = write_stage(_region_links(near_members, roots, texts, least, similar), "forest-links")
+    roots = joined_roots(roots, links)
 
     named = signed.select("doc_id", "n_shingles", "set_key")
     keys = groups.select(F.col("set_key").alias("_key"), F.col("node"))
