@@ -13,6 +13,9 @@ from ratescope.llm import decontaminate, line_dedup, mixing, near_dedup, quality
 from ratescope.llm.common import read_table, write_stage
 from ratescope.sinks.scratch import ensure_shared_folder
 
+#: Least similarity of near copies in the pipeline, in percent; the op8 query has its own.
+SIMILAR = 80
+
 #: The stages fit models, follow links and round at random; SQL can't say that. tests/llm holds the brute-force version.
 ORACLE_SQL = None
 
@@ -37,7 +40,7 @@ def drop_crowded_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_shared_folder(spark)
-    return near_dedup.first_of_each(docs)
+    return near_dedup.first_of_each(docs, SIMILAR)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
