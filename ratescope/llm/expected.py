@@ -117,10 +117,91 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
 FROM marked GROUP BY doc_id
 """
 
+_WHOLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_INTEGERS = "list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+def _clustering(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Rounds written out one after another; r0 holds the starts, rN the centroids after N rounds."""
+    steps = []
+    for at in range(rounds + 1):
+        steps.append(f"""
+a{at} AS MATERIALIZED (
+  SELECT rid, min_by(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT rid, r.c, CAST(list_sum(list_transform(list_zip(v.q, r.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM vectors v, r{at} r
+  ) GROUP BY rid
+)""")
+        if at < rounds:
+            steps.append(f"""
+m{at} AS (
+  SELECT c, i, sum(x) // count(*) - CASE WHEN sum(x) % count(*) < 0 THEN 1 ELSE 0 END AS x
+  FROM (SELECT c, unnest(q) AS x, unnest(range(1, {dims} + 1)) AS i FROM a{at} JOIN vectors USING (rid)) GROUP BY c, i
+),
+r{at + 1} AS MATERIALIZED (
+  SELECT r.c, coalesce(n.q, r.q) AS q FROM r{at} r LEFT JOIN (SELECT c, list(CAST(x AS BIGINT) ORDER BY i) AS q FROM m{at} GROUP BY c) n USING (c)
+)""")
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, {_INTEGERS} AS q FROM embeddings WHERE len(embedding) = {dims} AND {_WHOLE}
+),
+r0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), q) - 1 AS c, q FROM vectors
+  ORDER BY c LIMIT {k}
+),{",".join(steps)}
+SELECT vec_id, CAST(a.c AS INT) AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(r.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN vectors USING (rid) JOIN r{rounds} r ON r.c = a.c
+"""
+
+
+URL_FILTER = r"""
+WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+rests AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parts AS (
+  SELECT row_number() OVER () AS rid, page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+),
+won AS (
+  SELECT rid, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY rid
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN won USING (rid)
+"""
+
+HARD_NEGATIVES = f"""
+WITH part AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    CAST({_INTEGERS} AS DOUBLE[]) AS q
+  FROM embeddings WHERE label IS NOT NULL AND {_WHOLE}
+),
+scored AS MATERIALIZED (
+  SELECT a.rid AS arid, a.vec_id AS anchor_id, c.vec_id AS id, c.label = a.label AS same, CAST(list_inner_product(a.q, c.q) AS BIGINT) AS score
+  FROM part a JOIN part c ON true WHERE a.vec_id % 50 = 0
+),
+positive AS (
+  SELECT arid, anchor_id, id, score, row_number() OVER (PARTITION BY arid ORDER BY score DESC, id NULLS LAST) AS n
+  FROM scored WHERE same AND id IS DISTINCT FROM anchor_id QUALIFY n <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.arid, p.n ORDER BY s.score DESC, s.id NULLS LAST) AS INT) AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.arid = p.arid AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 EXPECTED = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op2_decontamination": DECONTAMINATION,
     "op4_warc": WARC,
     "op8_near_dedup": NEAR_DEDUP,
     "op10_line_dedup": LINE_DEDUP,
+    "op11_centroid_clustering": _clustering(),
+    "op12_url_filter": URL_FILTER,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

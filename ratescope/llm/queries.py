@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratescope.llm import (
-    decontaminate, html_extract, language_model, line_dedup, mixing, near_dedup, quality_rules, substring_dedup, toxicity, warc,
+    centroid_clustering, decontaminate, hard_negatives, html_extract, language_model, line_dedup, mixing, near_dedup, quality_rules,
+    substring_dedup, toxicity, url_filter, warc,
 )
 from ratescope.llm.common import documents, read_table, scratch_path
 from ratescope.llm.expected import EXPECTED  # noqa: F401
@@ -76,3 +77,28 @@ def op6_toxicity(spark, sf_dir):
 @query
 def op9_language_model(spark, sf_dir):
     return language_model.report(documents(spark, sf_dir))
+
+
+@query
+def op11_centroid_clustering(spark, sf_dir):
+    placed = centroid_clustering.cluster(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return placed.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op12_url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, url_filter.RULES)
+    return url_filter.judge(read_table(spark, sf_dir, "pages", "page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)

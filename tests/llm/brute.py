@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -116,3 +117,65 @@ def line_dedup(docs, chars=40, least=5):
                 kept.append(line)
         out.append((i, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
     return out
+
+
+def _whole(vector, dims=None) -> bool:
+    return vector is not None and (dims is None or len(vector) == dims) and all(x is not None and math.isfinite(x) for x in vector)
+
+
+def integers(vector) -> list[int]:
+    most = 1 << 24
+    return [math.floor(max(-most, min(most, 256 * x))) for x in vector]
+
+
+def clustering(rows, k=40, rounds=5, dims=64) -> list[tuple]:
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256) of rows (vec_id, vector)."""
+    kept = [(i, integers(v)) for i, v in rows if _whole(v, dims)]
+    order = sorted(kept, key=lambda r: (hashlib.sha256(f"2:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [q for _, q in order[:k]]
+
+    def nearest(q):
+        return min((sum((a - b) ** 2 for a, b in zip(q, c)), n) for n, c in enumerate(centroids))
+
+    for at in range(rounds + 1):
+        placed = [(i, q, *nearest(q)) for i, q in kept]
+        if at < rounds:
+            for c in range(len(centroids)):
+                mine = [q for _, q, _, n in placed if n == c]
+                if mine:
+                    centroids[c] = [sum(x) // len(mine) for x in zip(*mine)]
+    inertia = Counter()
+    for _, _, d, n in placed:
+        inertia[n] += d
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return [(i, n, d, inertia[n], sum(inertia.values()), digest[n]) for i, _, d, n in placed]
+
+
+def hard_negatives(rows, every=50) -> list[tuple]:
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of rows (vec_id, vector, label)."""
+    part = [(i, integers(v), lab) for i, v, lab in rows if lab is not None and _whole(v)]
+    last = lambda i: (i is None, i or 0)
+    out = []
+    for a, q, lab in part:
+        if a is None or a % every:
+            continue
+        scored = [(i, sum(x * y for x, y in zip(q, p)), other == lab) for i, p, other in part]
+        best = sorted([s for s in scored if s[2] and s[0] != a], key=lambda s: (-s[1], last(s[0])))[:5]
+        for i, ps, _ in best:
+            fitting = sorted([s for s in scored if not s[2] and 50 * ps <= 100 * s[1] <= 95 * ps], key=lambda s: (-s[1], last(s[0])))
+            out += [(a, i, n + 1, s[0], ps, s[1]) for n, s in enumerate(fitting[:3])]
+    return out
+
+
+def url_rules(urls, rules) -> list[tuple]:
+    """(host, path, rule, verdict) of each URL."""
+    out = []
+    small = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for url in urls:
+        _, sep, rest = (url or "").partition("://")
+        whole = re.split(r"[?#]", rest)[0] if sep else ""
+        host, slash, path = whole.partition("/")
+        host, path = host.translate(small), slash + path
+        fit = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        out.append((host, path, *(max(fit)[2:] if fit else (None, "allow"))))
+    return out

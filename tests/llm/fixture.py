@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import struct
 
 VOICES = [f"{a}{b}{c}" for a in ("ba", "ko", "mi", "tu") for b in ("rel", "nos", "vik", "dam") for c in ("a", "en", "ot", "is")]
 
@@ -56,6 +57,36 @@ PAGES = [
     (6, "http://b.example/2", "<p>unclosed <b>bold <script>var a = '</p>';</script> end"), (None, "http://c.example", "no markup at all"),
     (7, "http://c.example", "<script>never closed <p>text"),
 ]
+def embeddings() -> list[tuple]:
+    """(vec_id, embedding, label, cluster, distance, anchor, score)."""
+    rng = random.Random(9)
+
+    def vector(n: int = 64) -> list[float]:
+        return [rng.gauss(0, 0.125) for _ in range(n)]
+
+    vectors: dict[int, list | None] = {i: vector() for i in range(400)}
+    for i in range(100, 160):  # close ones, some of them anchors
+        vectors[i] = [x + rng.gauss(0, 0.004) for x in vectors[100]]
+    for i in range(160, 175):
+        vectors[i] = vectors[50]  # ties
+    vectors[175], vectors[176], vectors[177] = None, [], vector(63)
+    vectors[178], vectors[179] = vector() + [0.1, 0.2], [*vector()[:63], None]
+    vectors[180], vectors[181] = [*vector()[:63], float("nan")], [*vector()[:63], float("inf")]
+    vectors[182], vectors[183] = [0.0] * 64, [3e4 * (-1) ** i for i in range(64)]
+    vectors[184] = [1e38] * 64
+    vectors = {i: v and [x if x is None else struct.unpack("f", struct.pack("f", x))[0] for x in v] for i, v in vectors.items()}
+    rows = [(i, v, None if i % 61 == 0 else i % 3 if i % 2 else 0, i, "far", i % 2 == 0, 1.5) for i, v in vectors.items()]
+    rows += [rows[7], rows[50], rows[100], rows[100]]  # repeated rows, anchors among them
+    rows.append((None, vectors[51], 1, None, None, None, None))
+    return rows
+
+
+EMBEDDINGS = "vec_id bigint, embedding array<float>, label int, cluster int, distance string, anchor boolean, score double"
+URLS = [
+    "http://www.Example.com/en/a?x=1#y", "http://example.com/en/", "https://blog.example.com/en/b", "http://notexample.com/en/", "http://example.com/EN/",
+    "http://a.net/es/1", "http://net/fr/", "http://a.net/", "http://internet/es/", "no scheme", "", None, "http://", "x://y://z.com/p", "http://u@h.com:80/en",
+    "http://example.com.", "http://example.com?q=/en/", "HTTP://WWW.EXAMPLE.COM/en/\n/x", "http://a.org/" + "long/" * 5_000, "http://ÄÖ.com/ü#", "http://com", "a://com/",
+]
 LABELS = [(i, i % 2, 1 if i % 7 == 0 else 0) for i in range(0, 80)] + [(3, 1, 1), (None, 1, 1), (999, 0, 1), (9, None, None)]
 
 
@@ -67,6 +98,7 @@ def write(spark, folder: str) -> str:
     save("benchmark", BENCHMARK, "item_id bigint, text string, words string")
     save("pages", PAGES, "page_id bigint, url string, html string")
     save("labels", LABELS, "doc_id bigint, quality int, toxic int")
+    save("embeddings", embeddings(), EMBEDDINGS)
     return folder
 
 
@@ -74,6 +106,7 @@ def write_empty(spark, folder: str) -> str:
     for name, schema in (
         ("documents", DOCUMENTS), ("benchmark", "item_id bigint, text string, words string"),
         ("pages", "page_id bigint, url string, html string"), ("labels", "doc_id bigint, quality int, toxic int"),
+        ("embeddings", EMBEDDINGS),
     ):
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
     return folder
