@@ -15,8 +15,8 @@ from ratescope.plans.manifest import last_downloads, latest_run_pages
 from ratescope.schemas import HEADER
 from ratescope.sinks.tables import SKIPPED, is_loaded, load_table, rebuild_table, with_lineage
 from ratescope.sources.pages import default_crosswalk, default_payer_rules, default_procedure_codes, read_pages
-from ratescope.sources.price_csv import LayoutError, N_LEADS, count_source_records, price_csv_header, read_price_csv
-from ratescope.sources.price_json import count_source_items, price_json_headers, price_json_items
+from ratescope.sources.price_csv import LayoutError, N_LEADS, open_price_csv, price_csv_header, read_price_csv
+from ratescope.sources.price_json import open_price_json, price_json_headers
 
 
 class LoadError(RuntimeError):
@@ -60,11 +60,13 @@ def load_price_file(spark: SparkSession, spec: PriceFileSpec, names: Schemas, fo
     if not force and is_loaded(spark, table, run_id):
         return SKIPPED
     if spec.file_format == "csv":
-        rows, header = read_price_csv(spark, [path])[1], price_csv_header(spark, path)
-        expected = count_source_records(spark, [path]) - N_LEADS
+        opened = open_price_csv(spark, [path])
+        rows, header = read_price_csv(spark, [path], opened=opened)[1], price_csv_header(spark, path)
+        expected = opened.count() - N_LEADS
     else:
-        rows, header = price_json_items(spark, [path]), price_json_headers(spark, [path]).select(*HEADER.names)
-        expected = count_source_items(spark, [path])
+        opened = open_price_json(spark, [path])
+        rows, header = opened.items(), price_json_headers(spark, [path]).select(*HEADER.names)
+        expected = opened.count()
     loaded = load_table(rows, table, run_id, expected=expected)
     rebuild_table(with_lineage(header, F.lit(path), run_id), f"{table}_header")
     return loaded

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ratescope.schemas import MANIFEST
@@ -21,10 +21,35 @@ def with_lineage(rows: DataFrame, source_file: Column, run_id: str) -> DataFrame
     return rows.select(*[rows[c] for c in rows.columns if c != "_source_file"], *lineage)
 
 
-def rebuild_table(df: DataFrame, table: str) -> None:
-    """Replace a table as a whole; its columns may change."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.mode("overwrite").saveAsTable(table)
+def _put_in_place(spark: SparkSession, written: str, table: str) -> None:
+    """Let a written table take the name of another one, which is set aside until that is done."""
+    aside = f"{table}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {written} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+
+
+def rebuild_table(df: DataFrame, table: str, expected: int | None = None) -> int:
+    """Replace a table as a whole; its columns may change. Returns the rows written.
+
+    The rows go to a table of another name, are counted while they are written, and take the name only once their number
+    is the expected one: whatever fails before, the earlier table stays as it was.
+    """
+    spark, written = df.sparkSession, f"{table}__new"
+    counted = Observation()
+    spark.sql(f"DROP TABLE IF EXISTS {written}")
+    try:
+        df.observe(counted, F.count(F.lit(1)).alias("n")).write.saveAsTable(written)
+        got = counted.get["n"]
+        if expected is not None and got != expected:
+            raise ReconcileError(f"{table} has {got} rows where its source states {expected}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {written}")
+        raise
+    _put_in_place(spark, written, table)
+    return got
 
 
 def is_loaded(spark: SparkSession, table: str, run_id: str) -> bool:
@@ -34,23 +59,18 @@ def is_loaded(spark: SparkSession, table: str, run_id: str) -> bool:
 
 def load_table(rows: DataFrame, table: str, run_id: str, *, expected: int) -> int:
     """Build ``table`` from ``rows`` and hold its row count against the source's, which must be counted independently."""
-    rebuild_table(with_lineage(rows, rows["_source_file"], run_id), table)
-    got = rows.sparkSession.table(table).count()
-    if got != expected:
-        raise ReconcileError(f"{table} has {got} rows where its source states {expected}")
-    return got
+    return rebuild_table(with_lineage(rows, rows["_source_file"], run_id), table, expected)
 
 
 def ensure_manifest(spark: SparkSession, table: str) -> None:
-    """Create the load log, or add the columns that an older one lacks, at its end."""
-    if not spark.catalog.tableExists(table):
+    """Create the load log, or give an older one the columns it lacks, at its end."""
+    if spark.catalog.tableExists(table):
+        held = spark.table(table).schema.names
+        for field in MANIFEST:
+            if field.name not in held:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMN {field.name} {field.dataType.simpleString()}")
+    else:
         spark.createDataFrame([], MANIFEST).write.saveAsTable(table)
-        return
-    present = set(spark.table(table).columns)
-    missing = [f for f in MANIFEST.fields if f.name not in present]
-    if missing:
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in missing)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
 def append_events(events: DataFrame, table: str) -> None:

@@ -247,6 +247,15 @@ EXPECTED.update({
   TRUE AS has_lineage FROM customer""",
     "price_csv_records": """SELECT 'rows' AS kind, count(*) AS n FROM lineitem
 UNION ALL SELECT 'records', count(*) FROM lineitem""",
+    "price_json_items_by_range": """
+WITH items AS (SELECT CASE WHEN p_size % 11 > 0 THEN p_type END AS code FROM lineitem JOIN part ON l_partkey = p_partkey),
+documents AS (SELECT count(*) // 20000 + 2 AS n FROM lineitem)
+SELECT code, count(*) AS n_items FROM items WHERE code IS NOT NULL GROUP BY code
+UNION ALL SELECT NULL, (SELECT count(*) FROM items WHERE code IS NULL) + n FROM documents
+UNION ALL SELECT 'all items', (SELECT count(*) FROM items) + n FROM documents""",
+    "load_shortfall": """SELECT 'run-1' AS run_id, l_returnflag AS setting, count(*) AS n_rows,
+  ' has ' || (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'R') || ' rows where its source states '
+  || (SELECT count(*) FROM lineitem) AS refusal FROM lineitem GROUP BY l_returnflag""",
     "csv_and_json_headers": """SELECT * FROM (VALUES
   (0, 'hospital_name', 'General, "Old" Hospital'), (1, 'last_updated_on', '2025-10-01'), (2, 'version', '2.0.0'),
   (4, 'license_number|TN', ''), (0, 'hospital_name', 'General Hospital'), (1, 'last_updated_on', '10/1/2025'),

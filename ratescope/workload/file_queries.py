@@ -16,13 +16,15 @@ from ratescope.schemas import CROSSWALK, PRICE_ITEM
 from ratescope.sinks import tables
 from ratescope.sinks.scratch import scratch_path
 from ratescope.sources.pages import read_pages
-from ratescope.sources.price_csv import N_LEADS, count_source_records, price_csv_header, price_csv_headers, read_price_csv
-from ratescope.sources.price_json import price_json_headers, price_json_items
+from ratescope.sources.price_csv import N_LEADS, open_price_csv, price_csv_header, price_csv_headers, read_price_csv
+from ratescope.sources.price_json import open_price_json, price_json_headers, price_json_items
 from ratescope.workload import files, star
 from ratescope.workload.queries import query, rounded, stored_variation
 from ratescope.workload.star import CONFIG, FEATURED, table
 
 _FILE_COLUMNS = ("_source_file",)
+#: Bytes of a range where a query is to read files in several even at the smallest size.
+_SMALL_RANGES = 1 << 18
 
 
 def _with_run(bronze: DataFrame) -> DataFrame:
@@ -127,15 +129,44 @@ def bronze_load(spark, sf_dir):
 
 @query
 def price_csv_records(spark, sf_dir):
-    """Rows that the reader gives of the tall files against the records that a sequential parser counts in them."""
+    """Rows that the reader gives of the tall files against the record ends that the first pass finds in them."""
     paths = files.tall_csv(spark, sf_dir, 4)
-    rows = read_price_csv(spark, paths)[1]
-    counted = count_source_records(spark, paths) - N_LEADS * len(paths)
+    opened = open_price_csv(spark, paths, _SMALL_RANGES)
+    rows = read_price_csv(spark, paths, opened=opened)[1]
+    counted = opened.count() - N_LEADS * len(paths)
     return rows.agg(F.count("*").alias("n")).select(F.lit("rows").alias("kind"), "n").unionByName(
         spark.createDataFrame([("records", counted)], "kind string, n bigint")
     )
 
 
+@query
+def price_json_items_by_range(spark, sf_dir):
+    """Items of the JSON documents, each read in many ranges, by their first code; and what the structure counts in all."""
+    opened = open_price_json(spark, files.price_json(spark, sf_dir), _SMALL_RANGES)
+    code = F.get_json_object("raw_json", "$.code_information[0].code")
+    by_code = opened.items().groupBy(code.alias("code")).agg(F.count("*").alias("n_items"))
+    return by_code.unionByName(spark.createDataFrame([("all items", opened.count())], "code string, n_items bigint"))
+
+
+@query
+def load_shortfall(spark, sf_dir):
+    """A load that loses rows on its way: what the refusal states, and the earlier table as it still reads."""
+    database = "ratescope_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'shortfall')}'")
+    name = f"{database}.tall"
+    paths = files.tall_csv(spark, sf_dir, 2)
+    opened = open_price_csv(spark, paths)
+    rows, expected = read_price_csv(spark, paths, opened=opened)[1], opened.count() - N_LEADS * len(paths)
+    tables.load_table(rows, name, "run-1", expected=expected)
+    try:
+        tables.load_table(rows.where(F.col("setting") != "R"), name, "run-2", expected=expected)
+        refusal = None
+    except tables.ReconcileError as error:
+        refusal = str(error).removeprefix(name)
+    held = spark.table(name).groupBy(F.col("_run_id").alias("run_id"), "setting").agg(F.count("*").alias("n_rows"))
+    return held.withColumn("refusal", F.lit(refusal))
+
+
 @query
 def csv_and_json_headers(spark, sf_dir):
     """Metadata name/value rows of every CSV and JSON file, distinct."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ratescope.schemas import MANIFEST
 from ratescope.sinks.scratch import scratch_path
-from ratescope.sources.price_json import list_files
+from ratescope.sources.ranges import list_files
 from ratescope.workload import star
 
 ROWS_PER_FILE = 20_000

@@ -131,8 +131,24 @@ def test_row_counts_are_reconciled(spark, landed):
         "run_id": F.lit("run-2"), "event_ts": F.to_timestamp(F.lit("2026-02-01")), "row_count": F.lit(5),
     })
     tables.append_events(spark.createDataFrame(newer.collect(), schemas.MANIFEST), NAMES.log)
+    table = f"{NAMES.bronze}.hospital_general_information"
+    before = sorted(map(str, spark.table(table).collect()))
     with pytest.raises(tables.ReconcileError, match="has 3 rows where its source states 10"):
         build.load_page_set(spark, PAGE_SETS[0], NAMES)
+    # The earlier table is as it was, and nothing is left of the load that failed.
+    assert sorted(map(str, spark.table(table).collect())) == before and len(before) == 3
+    assert not [t.name for t in spark.catalog.listTables(NAMES.bronze) if "__" in t.name]
+
+
+def test_a_write_that_breaks_off_leaves_the_table(spark, landed):
+    table = f"{NAMES.bronze}.kept"
+    assert tables.rebuild_table(spark.range(5), table) == 5
+    broken = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("torn"))).otherwise(F.col("id")).alias("other"))
+    with pytest.raises(Exception, match="torn"):
+        tables.rebuild_table(broken, table)
+    assert spark.table(table).columns == ["id"] and spark.table(table).count() == 5
+    assert tables.rebuild_table(spark.range(3).toDF("other"), table, expected=3) == 3
+    assert spark.table(table).columns == ["other"]
 
 
 def test_manifest_gains_columns(spark, landed):
