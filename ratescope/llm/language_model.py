@@ -4,20 +4,22 @@ Words are counted over all training documents by Spark. The ``HEAD`` most freque
 the model; all other words, seen or not, belong to a few classes by their shape, and within such a class a word has its
 add-one share of the class. The recurrent network gives the class of the next word, and within a class of frequent words
 the word, each by a softmax of its own, so a step costs about the root of the vocabulary. It is trained by truncated
-backpropagation in numpy on all training documents, each in one of the rounds, in Spark tasks whose parameters are
-averaged after each round. In scoring, documents run side by side in lanes and the state is carried from window to window, so a score
-is the log-likelihood of the complete document.
+backpropagation in numpy on all training documents, each in one of the rounds. In a round the tasks that read the
+documents learn side by side, so there are as many as the input has splits, and their parameters are averaged; the number
+of rounds grows with the logarithm of the tokens. In scoring, documents run side by side in lanes and the state is carried
+from window to window, so a score is the log-likelihood of the complete document, however long.
 
 Counts of the ``KNOWN`` most frequent words travel to the scoring tasks (some 30 MB at most); counts of all others are
-joined.
+joined. Parameters are averaged as whole numbers, so the order in which tasks end does not matter.
 
 Null and empty texts are the end token alone. Rows with a null doc_id are scored and not learned from. Repeated rows
-count as often as they occur and get equal scores. Without training documents only the uniform base is left and both
-scores are that. A table without rows gives no rows.
+count as often as they occur and get equal scores. Words of equal counts are numbered in their own order. Without training
+documents only the uniform base is left and both scores are that. A table without rows gives no rows.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -35,15 +37,20 @@ KNOWN = 300_000
 HIDDEN = 24
 WINDOW = 16
 LANES = 256
-#: The rounds deal all training documents out among themselves; tasks that learn side by side.
-ROUNDS, TRAINERS = 3, 24
-#: Classes of words beyond the head: four alphabets, four endings, four lengths.
-SHAPES = 64
+#: Rounds that deal all training documents out among themselves, at least; one more with every doubling of the tokens beyond.
+ROUNDS = 3
+ROUND_TOKENS = 15_000_000
+#: Tokens of the documents that a task holds side by side.
+PORTION = 4_000_000
+#: Classes of words beyond the head: letters only or not, ASCII or not, four lengths.
+SHAPES = 16
 
 _COUNTS = "word binary, n bigint"
 _SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, model double, rare array<struct<word: binary, n: int>>"
-_PIECE = "piece int, weight double, values array<float>"
+_PIECE = "piece int, tokens bigint, values array<bigint>"
 _PIECE_SIZE = 4096
+#: Parameters times tokens are summed in steps of one over this.
+_FINE = 1 << 16
 
 
 def held_out(doc_id: Column) -> Column:
@@ -54,20 +61,12 @@ def token_words(text) -> list[bytes]:
     return utf8(text).lower().split()
 
 
-_GERMAN = frozenset("äöüß".encode()) - {0xC3}
-_SPANISH = frozenset("ñíóáú¿¡".encode()) - {0xC3, 0xC2}
-_ENDINGS = {ord("."): 1, ord(","): 2, ord("!"): 3, ord("|"): 3, ord("%"): 3, ord("#"): 3, ord("*"): 3, ord("$"): 3, ord("&"): 3}
-
-
 def shape(word: bytes) -> int:
-    """Class of a word beyond the head, from its letters, ending and length."""
-    if word.isascii():
-        letters = 0
-    else:
-        marks = set(word)
-        letters = 1 if marks & _GERMAN else (2 if marks & _SPANISH else 3)
+    """Class of a word beyond the head, from its letters and length."""
+    ascii_ = word.isascii()
+    letters = word.isalpha() if ascii_ else word.decode("utf-8", "replace").isalpha()
     n = len(word)
-    return letters * 16 + _ENDINGS.get(word[-1], 0) * 4 + (0 if n <= 4 else 1 if n <= 7 else 2 if n <= 10 else 3)
+    return (not ascii_) * 8 + letters * 4 + (0 if n <= 4 else 1 if n <= 7 else 2 if n <= 10 else 3)
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,15 +175,23 @@ class Network:
             setattr(self, name, values[at:at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
-    def step(self, h: np.ndarray, x: np.ndarray) -> tuple:
-        """New state and the gates it came from."""
+    def step(self, h: np.ndarray, given: np.ndarray) -> tuple:
+        """New state and the gates it came from; ``given`` is what the inputs contribute."""
         k = self.hidden
-        given = self.inputs[x] + self.bias
         looped = h @ self.loop
-        gates = 1 / (1 + np.exp(-(given[:, :2 * k] + looped[:, :2 * k])))
+        gates = looped[:, :2 * k] + given[:, :2 * k]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         reset, keep = gates[:, :k], gates[:, k:]
-        fresh = np.tanh(given[:, 2 * k:] + reset * looped[:, 2 * k:])
-        return keep * h + (1 - keep) * fresh, reset, keep, fresh, looped[:, 2 * k:]
+        fresh = reset * looped[:, 2 * k:]
+        fresh += given[:, 2 * k:]
+        np.tanh(fresh, out=fresh)
+        new = h - fresh
+        new *= keep
+        new += fresh
+        return new, reset, keep, fresh, looped[:, 2 * k:]
 
     def targets(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class and place within it (-1 outside the head); tokens: head word, n_head + shape, or n_head + SHAPES for the end."""
@@ -193,17 +200,43 @@ class Network:
         return which, np.where(in_head, tokens % self.width, -1)
 
     @staticmethod
-    def _log_softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return logits
+    def _powers(logits: np.ndarray, ones: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Powers of the logits and their sums; without ``ones`` each row against its largest, so that nothing overflows."""
+        if ones is None:
+            logits -= logits.max(axis=1, keepdims=True)
+            powers = np.exp(logits)
+            return powers, powers.sum(axis=1)
+        powers = np.exp(logits)
+        return powers, powers @ ones[: logits.shape[1]]
+
+    def _log_share(self, logits: np.ndarray, chosen: np.ndarray, ones: np.ndarray | None) -> np.ndarray:
+        """Natural log of the softmax at one place per row."""
+        _, sums = self._powers(logits, ones)
+        return logits[np.arange(len(chosen)), chosen] - np.log(sums)
+
+    def _miss(self, logits: np.ndarray, chosen: np.ndarray, ones: np.ndarray | None) -> np.ndarray:
+        """Softmax, less one at the chosen place."""
+        powers, sums = self._powers(logits, ones)
+        powers *= np.reciprocal(sums)[:, None]
+        powers[np.arange(len(chosen)), chosen] -= 1
+        return powers
+
+    def _ones(self, like: np.ndarray) -> np.ndarray:
+        return np.ones(max(self.end + 1, self.width), dtype=like.dtype)
 
     def log_likelihood(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each token after its state."""
+        with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+            out = self._log_likelihood(states, tokens, self._ones(states))
+        return out if np.isfinite(out).all() else self._log_likelihood(states, tokens, None)
+
+    def _log_likelihood(self, states: np.ndarray, tokens: np.ndarray, ones: np.ndarray | None) -> np.ndarray:
         which, place = self.targets(tokens)
-        out = self._log_softmax(states @ self.to_class + self.class_bias)[np.arange(len(tokens)), which]
+        logits = states @ self.to_class
+        logits += self.class_bias
+        out = self._log_share(logits, which, ones)
         for rows, c in self._by_class(which, place):
-            out[rows] += self._log_softmax(states[rows] @ self.to_word[c] + self.word_bias[c])[np.arange(len(rows)), place[rows]]
+            out[rows] += self._log_share(states[rows] @ self.to_word[c] + self.word_bias[c], place[rows], ones)
         return out
 
     def _by_class(self, which: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
@@ -217,124 +250,180 @@ class Network:
 
     def gradients(self, states: np.ndarray, tokens: np.ndarray, used: np.ndarray) -> tuple[dict, np.ndarray]:
         """Gradients of the outputs, and with respect to the states; ``used`` marks the rows that hold a token."""
+        with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+            grads, back = self._gradients(states, tokens, used, self._ones(states))
+        return (grads, back) if np.isfinite(back).all() else self._gradients(states, tokens, used, None)
+
+    def _gradients(self, states: np.ndarray, tokens: np.ndarray, used: np.ndarray, ones: np.ndarray | None) -> tuple[dict, np.ndarray]:
         which, place = self.targets(tokens)
         place = np.where(used, place, -1)
         share = 1.0 / max(1, used.sum())
-        slope = np.exp(self._log_softmax(states @ self.to_class + self.class_bias))
-        slope[np.arange(len(tokens)), which] -= 1
-        slope *= (used * share)[:, None]
+        logits = states @ self.to_class
+        logits += self.class_bias
+        slope = self._miss(logits, which, ones)
+        slope *= (used * share).astype(slope.dtype)[:, None]
         grads = {"to_class": states.T @ slope, "class_bias": slope.sum(axis=0), "to_word": np.zeros_like(self.to_word), "word_bias": np.zeros_like(self.word_bias)}
         back = slope @ self.to_class.T
         for rows, c in self._by_class(which, place):
-            inner = np.exp(self._log_softmax(states[rows] @ self.to_word[c] + self.word_bias[c]))
-            inner[np.arange(len(rows)), place[rows]] -= 1
+            held = states[rows]
+            inner = self._miss(held @ self.to_word[c] + self.word_bias[c], place[rows], ones)
             inner *= share
-            grads["to_word"][c] = states[rows].T @ inner
+            grads["to_word"][c] = held.T @ inner
             grads["word_bias"][c] = inner.sum(axis=0)
             back[rows] += inner @ self.to_word[c].T
         return grads, back
 
+    def window_gradients(self, h: np.ndarray, inputs: np.ndarray, tokens: np.ndarray, used: np.ndarray, fresh: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
+        """Gradients of the mean loss over a window (steps x lanes), the rows of ``inputs`` they belong to, and the last state.
+
+        ``h`` is the state before the window, through which nothing goes back; where ``fresh`` is set a document begins and
+        the state before it is nothing.
+        """
+        k, (steps, lanes) = self.hidden, inputs.shape
+        given = (self.inputs[inputs.ravel()] + self.bias).reshape(steps, lanes, 3 * k)
+        kind = given.dtype
+        before, states = np.empty((steps, lanes, k), kind), np.empty((steps, lanes, k), kind)
+        reset, keep, new_part, looped = (np.empty((steps, lanes, k), kind) for _ in range(4))
+        begins = fresh.any(axis=1)
+        for t in range(steps):
+            before[t] = h
+            if begins[t]:
+                before[t][fresh[t]] = 0
+            h, reset[t], keep[t], new_part[t], looped[t] = self.step(before[t], given[t])
+            states[t] = h
+        grads, back = self.gradients(states.reshape(-1, k), tokens.ravel(), used.ravel())
+        back = back.reshape(steps, lanes, k)
+        to_keep = (before - new_part) * keep * (1 - keep)
+        to_fresh = (1 - keep) * (1 - new_part * new_part)
+        to_reset = looped * reset * (1 - reset)
+        slopes = np.empty((steps, lanes, 3 * k), kind)  # with respect to what the inputs give
+        through = np.empty((steps, lanes, 3 * k), kind)  # with respect to what the loop gives
+        later = np.zeros((lanes, k), kind)
+        for t in range(steps - 1, -1, -1):
+            slope = back[t] + later
+            fresh_slope = slope * to_fresh[t]
+            slopes[t, :, 2 * k:] = fresh_slope
+            np.multiply(fresh_slope, to_reset[t], out=slopes[t, :, :k])
+            np.multiply(slope, to_keep[t], out=slopes[t, :, k:2 * k])
+            through[t, :, :2 * k] = slopes[t, :, :2 * k]
+            np.multiply(fresh_slope, reset[t], out=through[t, :, 2 * k:])
+            later = through[t] @ self.loop.T
+            later += slope * keep[t]
+            if begins[t]:
+                later[fresh[t]] = 0
+        flat = slopes.reshape(-1, 3 * k)
+        order = np.argsort(inputs.ravel(), kind="stable")
+        sorted_ = inputs.ravel()[order]
+        starts = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
+        grads |= {
+            "loop": before.reshape(-1, k).T @ through.reshape(-1, 3 * k), "bias": flat.sum(axis=0),
+            "inputs": np.add.reduceat(flat[order], starts, axis=0),
+        }
+        return grads, sorted_[starts], h
+
 
 class Lanes:
-    """Documents side by side: each lane takes the next document when its own has ended, and goes when none is left."""
-
-    def __init__(self, documents: list[np.ndarray], lanes: int):
-        self.waiting = sorted(range(len(documents)), key=lambda i: len(documents[i]))
-        self.documents, self.width = documents, min(lanes, max(1, len(documents)))
-        self.owner = np.full(self.width, -1, dtype=np.int64)
-        self.at = np.zeros(self.width, dtype=np.int64)
-
-    def windows(self, size: int, start_input: int) -> Iterator[tuple]:
-        """Lanes still there of the last window, inputs, tokens and owners of the next ``size`` steps (owner -1: idle), and
-        which lanes began at each step."""
-        while True:
-            there = np.flatnonzero((self.owner >= 0) | bool(self.waiting))
-            self.owner, self.at, self.width = self.owner[there], self.at[there], len(there)
-            if not len(there):
-                return
-            inputs = np.full((size, self.width), start_input, dtype=np.int64)
-            tokens = np.zeros((size, self.width), dtype=np.int64)
-            owners = np.full((size, self.width), -1, dtype=np.int64)
-            fresh = np.zeros((size, self.width), dtype=bool)
-            for lane in range(self.width):
-                t = 0
-                while t < size:
-                    if self.owner[lane] < 0:
-                        if not self.waiting:
-                            break
-                        self.owner[lane], self.at[lane] = self.waiting.pop(), 0
-                    document, at = self.documents[self.owner[lane]], self.at[lane]
-                    n = min(size - t, len(document) - at)
-                    tokens[t:t + n, lane] = document[at:at + n]
-                    owners[t:t + n, lane] = self.owner[lane]
-                    if at:
-                        inputs[t:t + n, lane] = document[at - 1:at + n - 1]
-                    else:
-                        fresh[t, lane] = True
-                        inputs[t + 1:t + n, lane] = document[:n - 1]
-                    t += n
-                    self.at[lane] = at + n
-                    if at + n == len(document):
-                        self.owner[lane] = -1
-            yield there, inputs, tokens, owners, fresh
-
-
-def model_tokens(words: list[bytes], vocabulary: Vocabulary, shapes: dict) -> tuple[np.ndarray, np.ndarray]:
-    """The model's tokens of a text, its end included, and the numbers of its known words (-1: not known)."""
-    get, n_head = vocabulary.places.get, vocabulary.n_head
-    at = np.array([get(w, -1) for w in words], dtype=np.int64)
-    out = np.empty(len(words) + 1, dtype=np.int32)
-    known = at >= 0
-    out[:-1][known] = vocabulary.known_tokens[at[known]]
-    for i in np.flatnonzero(~known).tolist():
-        kind = shapes.get(words[i])
-        if kind is None:
-            if len(shapes) > 300_000:
-                shapes.clear()
-            kind = shapes[words[i]] = n_head + shape(words[i])
-        out[i] = kind
-    out[-1] = n_head + SHAPES
-    return out, at
-
-
-def learn(network: Network, documents: list[np.ndarray], moments: dict, rate: float, window: int = WINDOW, lanes: int = LANES) -> int:
-    """Truncated backpropagation by Adam through all documents; the state goes on from window to window."""
-    k, seen = network.hidden, 0
-    running = Lanes(documents, lanes)
-    h = np.zeros((running.width, k), dtype=np.float32)
-    for there, inputs, tokens, owners, fresh in running.windows(window, network.n_head + SHAPES):
-        h, trail, states = h[there], [], []
-        for t in range(window):
-            h = np.where(fresh[t][:, None], 0, h).astype(np.float32)
-            new, reset, keep, new_part, looped = network.step(h, inputs[t])
-            trail.append((h, reset, keep, new_part, looped))
-            states.append(new)
-            h = new
-        used = (owners >= 0).ravel()
-        grads, back = network.gradients(np.concatenate(states), tokens.ravel(), used)
-        back = back.reshape(window, running.width, k)
-        given_slope = np.empty((window, running.width, 3 * k), dtype=np.float32)
-        loop_slope = np.zeros_like(network.loop)
-        later = np.zeros_like(h)
-        for t in range(window - 1, -1, -1):
-            before, reset, keep, new_part, looped = trail[t]
-            slope = back[t] + later
-            to_fresh = slope * (1 - keep) * (1 - new_part**2)
-            to_keep = slope * (before - new_part) * keep * (1 - keep)
-            to_reset = to_fresh * looped * reset * (1 - reset)
-            given_slope[t] = np.concatenate([to_reset, to_keep, to_fresh], axis=1)
-            through = np.concatenate([to_reset, to_keep, to_fresh * reset], axis=1)
-            loop_slope += before.T @ through
-            later = (slope * keep + through @ network.loop.T) * ~fresh[t][:, None]
-        flat = given_slope.reshape(-1, 3 * k)
-        rows, place = np.unique(inputs.ravel(), return_inverse=True)
-        order = np.argsort(place, kind="stable")
-        starts = np.searchsorted(place[order], np.arange(len(rows)))
-        grads |= {"loop": loop_slope, "bias": flat.sum(axis=0)}
+    """Documents side by side, several after one another in a lane; longer lanes first, so those that go on are a prefix."""
+
+    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, start_input: int, lanes: int = LANES):
+        lanes = min(lanes, max(1, len(lengths)))
+        loads = [(0, lane) for lane in range(lanes)]
+        lane_of, begin = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+        for i in np.argsort(-lengths, kind="stable").tolist():
+            load, lane = loads[0]
+            lane_of[i], begin[i] = lane, load
+            heapq.heapreplace(loads, (load + int(lengths[i]), lane))
+        size = np.zeros(lanes, np.int64)
+        for load, lane in loads:
+            size[lane] = load
+        rank = np.empty(lanes, np.int64)
+        rank[np.argsort(-size, kind="stable")] = np.arange(lanes)
+        self.sizes, lane_of = np.sort(size)[::-1], rank[lane_of]
+        shape_ = (int(self.sizes[0]), lanes)
+        self.tokens, self.owners = np.zeros(shape_, np.int32), np.full(shape_, -1, np.int32)
+        self.inputs, self.fresh = np.full(shape_, start_input, np.int32), np.zeros(shape_, bool)
+        starts = np.cumsum(lengths) - lengths
+        within = np.arange(len(tokens)) - np.repeat(starts, lengths)
+        row, column = np.repeat(begin, lengths) + within, np.repeat(lane_of, lengths)
+        self.tokens[row, column] = tokens
+        self.owners[row, column] = np.repeat(np.arange(len(lengths)), lengths)
+        self.inputs[1:] = self.tokens[:-1]
+        self.inputs[begin, lane_of] = start_input
+        self.fresh[begin, lane_of] = True
+
+    def windows(self, size: int) -> Iterator[tuple]:
+        """How many lanes go on, and inputs, tokens, owners (-1: idle) and beginnings of the next ``size`` steps."""
+        for at in range(0, len(self.tokens), size):
+            n = int(np.searchsorted(-self.sizes, -at, side="left"))
+            yield n, *(m[at:at + size, :n] for m in (self.inputs, self.tokens, self.owners, self.fresh))
+
+
+@dataclass
+class Portion:
+    """Texts as the model's tokens, one after another: lengths, numbers of the words (-1: not known), unknown words by text."""
+
+    tokens: np.ndarray
+    lengths: np.ndarray
+    numbers: np.ndarray
+    unknown: list[list[bytes]]
+
+
+def portions(texts, vocabulary: Vocabulary, shapes: dict, most: int = PORTION) -> Iterator[Portion]:
+    """Texts in turn, together some ``most`` tokens at a time; a longer text is a portion of its own."""
+    get, held, unknown, n = vocabulary.places.get, [], [], 0
+
+    def portion() -> Portion:
+        numbers = np.concatenate(held)
+        lengths = np.fromiter(map(len, held), np.int64, len(held))
+        tokens = vocabulary.known_tokens[numbers] if len(vocabulary.known_tokens) else np.zeros(len(numbers), np.int32)
+        beyond = numbers < 0
+        beyond[np.cumsum(lengths) - 1] = False
+        tokens[beyond] = [_shape_token(w, vocabulary.n_head, shapes) for words in unknown for w in words]
+        tokens[np.cumsum(lengths) - 1] = vocabulary.n_head + SHAPES
+        return Portion(tokens, lengths, numbers, unknown)
+
+    for text in texts:
+        words = token_words(text)
+        if held and n + len(words) >= most:
+            yield portion()
+            held, unknown, n = [], [], 0
+        found = [get(w, -1) for w in words]
+        found.append(-1)  # the end
+        numbers = np.array(found, dtype=np.int32)
+        held.append(numbers)
+        unknown.append([words[i] for i in np.flatnonzero(numbers[:-1] < 0).tolist()])
+        n += len(numbers)
+    if held:
+        yield portion()
+
+
+def _shape_token(word: bytes, n_head: int, shapes: dict) -> int:
+    kind = shapes.get(word)
+    if kind is None:
+        if len(shapes) > 300_000:
+            shapes.clear()
+        kind = shapes[word] = n_head + shape(word)
+    return kind
+
+
+def learn(network: Network, tokens: np.ndarray, lengths: np.ndarray, moments: dict, rate: float, window: int = WINDOW, lanes: int = LANES) -> int:
+    """Truncated backpropagation by Adam through all documents; the state goes on from window to window.
+
+    Few tokens make narrow windows, so that there are some hundred of them to learn by. A window that is partly idle, as
+    those are in which only the longest documents go on, moves the parameters by its share of a full one.
+    """
+    seen = 0
+    lanes = min(lanes, max(8, len(tokens) // (window * LANES)))
+    running = Lanes(tokens, lengths, network.n_head + SHAPES, lanes)
+    h = np.zeros((running.tokens.shape[1], network.hidden), dtype=np.float32)
+    full = rate / (window * lanes)
+    for n, inputs, wanted, owners, fresh in running.windows(window):
+        used = owners >= 0
+        rate = full * int(used.sum())
+        grads, rows, h = network.window_gradients(h[:n], inputs, wanted, used, fresh)
         moments["step"] += 1
         for name, g in grads.items():
-            _adam(getattr(network, name), g, moments, name, slice(None), rate)
-        _adam(network.inputs, np.add.reduceat(flat[order], starts, axis=0), moments, "inputs", rows, rate)
+            _adam(getattr(network, name), g, moments, name, rows if name == "inputs" else slice(None), rate)
         seen += int(used.sum())
     return seen
 
@@ -354,41 +443,44 @@ def _trainer(sent, rate: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary, network = sent.value
         moments, shapes, seen = {"step": 0}, {}, 0
-        for batch in batches:
-            documents = [model_tokens(token_words(t), vocabulary, shapes)[0] for t in batch["text"]]
-            if documents:
-                seen += learn(network, documents, moments, rate)
+        for portion in portions((t for batch in batches for t in batch["text"]), vocabulary, shapes):
+            seen += learn(network, portion.tokens, portion.lengths, moments, rate)
         if seen:
-            values = network.flat()
+            values = np.rint(network.flat().astype(np.float64) * seen * _FINE).astype(np.int64)
             starts = range(0, len(values), _PIECE_SIZE)
             yield pd.DataFrame({
-                "piece": np.arange(len(starts), dtype=np.int32), "weight": float(seen),
-                "values": [values[s:s + _PIECE_SIZE] * np.float32(seen) for s in starts],
+                "piece": np.arange(len(starts), dtype=np.int32), "tokens": seen, "values": [values[s:s + _PIECE_SIZE] for s in starts],
             })
 
     return run
 
 
-def train(training: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, trainers: int = TRAINERS) -> Network:
-    """Each round learns from other documents, side by side in at most ``trainers`` tasks; together they learn from all."""
+def _summed_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held: dict[int, list] = {}
+    for batch in batches:
+        for piece, tokens, values in zip(batch["piece"], batch["tokens"], batch["values"]):
+            before = held.setdefault(piece, [0, 0])
+            held[piece] = [before[0] + tokens, before[1] + values]
+    if held:
+        yield pd.DataFrame({"piece": list(held), "tokens": [n for n, _ in held.values()], "values": [v for _, v in held.values()]})
+
+
+def train(training: DataFrame, vocabulary: Vocabulary, rounds: int | None = None) -> Network:
+    """Each round learns from other documents, side by side where they are read; together they learn from all."""
     spark = training.sparkSession
     network = Network(vocabulary.head_counts, vocabulary.shape_tokens, vocabulary.n_docs)
+    rounds = rounds or max(ROUNDS, math.ceil(math.log2(max(1.0, vocabulary.tokens / ROUND_TOKENS))))
     turn = F.pmod(F.xxhash64("doc_id"), F.lit(rounds))
+    pieces = -(-len(network.flat()) // _PIECE_SIZE)
     for at in range(rounds):
         sent = spark.sparkContext.broadcast((vocabulary, network))
-        chosen = training.where(turn == at).select("text")
-        parts = chosen.repartition(trainers).mapInPandas(_trainer(sent, 0.01 / (1 + at)), _PIECE)
-        weight = F.sum("weight").alias("weight")
-        summed = (
-            parts.select("piece", "weight", F.posexplode("values").alias("place", "value"))
-            .groupBy("piece", "place").agg(weight, F.sum(F.col("value").cast("double")).alias("value"))
-            .groupBy("piece").agg(F.first("weight").alias("weight"), F.sort_array(F.collect_list(F.struct("place", "value"))).alias("all"))
-            .select("piece", F.transform("all", lambda x: x["value"] / F.col("weight")).alias("values"), "weight")
-        )
-        got = sorted(summed.collect())
-        if got:
-            network.load(np.concatenate([np.array(r["values"]) for r in got]))
-            network.seen += int(got[0]["weight"])
+        parts = training.where(turn == at).select("text").mapInPandas(_trainer(sent, 0.01 / (1 + at)), _PIECE)
+        # A task adds the pieces of its numbers up as they come, so it holds a sum or two, however many trainers there are.
+        got = parts.repartition(pieces, "piece").mapInPandas(_summed_pieces, _PIECE).toPandas().sort_values("piece")
+        if len(got):
+            tokens = int(got["tokens"].iloc[0])
+            network.load(np.concatenate(got["values"].tolist()) / (float(tokens) * _FINE))
+            network.seen += tokens
     return network
 
 
@@ -397,47 +489,50 @@ def _scorer(sent):
         vocabulary, network = sent.value
         shapes: dict = {}
         log_base = math.log10(vocabulary.tokens + vocabulary.types + 1)
-        end_count, n_head = vocabulary.n_docs, vocabulary.n_head
-        rest = np.log10(vocabulary.shape_tokens + vocabulary.shape_types + 1)
+        end_log, n_head = math.log10(vocabulary.n_docs + 1), vocabulary.n_head
+        rest = np.append(np.log10(vocabulary.shape_tokens + vocabulary.shape_types + 1), 0.0)
         for batch in batches:
-            if not len(batch):
-                continue
-            documents, base, known, rare, extra = [], [], [], [], []
-            for text in batch["text"]:
-                words = token_words(text)
-                tokens, at = model_tokens(words, vocabulary, shapes)
-                held = at[at >= 0]
-                logs = vocabulary.known_logs[held]
-                kinds = tokens[tokens >= n_head] - n_head
-                documents.append(tokens)
-                base.append(math.log10(end_count + 1) + logs.sum() - len(tokens) * log_base)
-                extra.append(logs[held >= n_head].sum() - rest[kinds[kinds < SHAPES]].sum())
-                known.append(len(held) + int(end_count > 0))
-                unknown = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
-                rare.append([{"word": w, "n": n} for w, n in unknown.items()])
-            model = score_documents(network, documents) / math.log(10) + np.array(extra)
-            yield pd.DataFrame({
-                "row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": [len(d) for d in documents], "n_known": known, "base": base, "model": model, "rare": rare,
-            })
+            base, model, known, lengths, rare = [], [], [], [], []
+            for p in portions(batch["text"], vocabulary, shapes):
+                of = np.repeat(np.arange(len(p.lengths)), p.lengths)
+                sums = lambda values, at: np.bincount(of[at], values, minlength=len(p.lengths))  # noqa: E731, B023
+                held, apart = p.numbers >= 0, p.tokens >= n_head
+                logs = np.zeros(len(of))
+                logs[held] = vocabulary.known_logs[p.numbers[held]]
+                base.append(end_log + sums(logs, slice(None)) - p.lengths * log_base)
+                # A word beyond the head has its share of its class.
+                share = sums(logs[apart] - rest[p.tokens[apart] - n_head], apart)
+                model.append(score_documents(network, p.tokens, p.lengths) / math.log(10) + share)
+                known.append(np.bincount(of[held], minlength=len(p.lengths)) + int(vocabulary.n_docs > 0))
+                lengths.append(p.lengths)
+                rare.extend([{"word": w, "n": c} for w, c in Counter(words).items()] for words in p.unknown)
+            if base:
+                yield pd.DataFrame({
+                    "row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": np.concatenate(lengths), "n_known": np.concatenate(known),
+                    "base": np.concatenate(base), "model": np.concatenate(model), "rare": rare,
+                })
 
     return run
 
 
-def score_documents(network: Network, documents: list[np.ndarray], window: int = 32, lanes: int = LANES) -> np.ndarray:
+def score_documents(network: Network, tokens: np.ndarray, lengths: np.ndarray, window: int = 32, lanes: int = LANES) -> np.ndarray:
     """Natural log-likelihood of each document over classes and head words."""
-    out = np.zeros(len(documents))
-    running = Lanes(documents, lanes)
-    h = np.zeros((running.width, network.hidden), dtype=np.float32)
-    for there, inputs, tokens, owners, fresh in running.windows(window, network.n_head + SHAPES):
-        h, states = h[there], []
-        for t in range(window):
-            if fresh[t].any():
+    out = np.zeros(len(lengths))
+    running = Lanes(tokens, lengths, network.n_head + SHAPES, lanes)
+    k = network.hidden
+    h = np.zeros((running.tokens.shape[1], k), dtype=np.float32)
+    for n, inputs, wanted, owners, fresh in running.windows(window):
+        given = (network.inputs[inputs.ravel()] + network.bias).reshape(len(inputs), n, 3 * k)
+        states = np.empty((len(inputs), n, k), np.float32)
+        begins = fresh.any(axis=1)
+        h = h[:n]
+        for t in range(len(inputs)):
+            if begins[t]:
                 h = np.where(fresh[t][:, None], np.float32(0), h)
-            h = network.step(h, inputs[t])[0]
-            states.append(h)
-        used = (owners >= 0).ravel()
-        likely = network.log_likelihood(np.concatenate(states)[used], tokens.ravel()[used])
-        out += np.bincount(owners.ravel()[used], likely, minlength=len(documents))
+            h = states[t] = network.step(h, given[t])[0]
+        used = owners.ravel() >= 0
+        likely = network.log_likelihood(states.reshape(-1, k)[used], wanted.ravel()[used])
+        out += np.bincount(owners.ravel()[used], likely, minlength=len(out))
     return out
 
 

@@ -279,6 +279,106 @@ def test_language_model_gradients():
         values[at] += 1e-5
 
 
+def _small_network(kind):
+    import numpy as np
+
+    from ratescope.llm.language_model import SHAPES, Network
+
+    network = Network(np.array([50.0, 30, 20, 9, 5, 4, 1]), np.ones(SHAPES), 9, hidden=5)
+    for name in network.NAMES:
+        setattr(network, name, getattr(network, name).astype(kind))
+    network.loop = network.loop * 4
+    return network
+
+
+def test_language_model_gradients_through_time():
+    """Slopes of every parameter against differences of the loss over a window in which documents begin and lanes are idle."""
+    import numpy as np
+
+    from ratescope.llm.language_model import SHAPES
+
+    network, rng = _small_network(np.float64), np.random.default_rng(3)
+    steps, lanes = 6, 3
+    h = rng.normal(size=(lanes, 5))
+    inputs = rng.integers(0, 7 + SHAPES, size=(steps, lanes))
+    inputs[0, 1] = inputs[3, 0] = inputs[3, 1]
+    tokens = rng.integers(0, 7 + SHAPES + 1, size=(steps, lanes))
+    used, fresh = np.ones((steps, lanes), bool), np.zeros((steps, lanes), bool)
+    used[4:, 2] = False
+    fresh[0, 0] = fresh[3, 1] = True
+
+    def loss():
+        at, states = h.copy(), []
+        for t in range(steps):
+            at = np.where(fresh[t][:, None], 0, at)
+            at = network.step(at, network.inputs[inputs[t]] + network.bias)[0]
+            states.append(at)
+        return -network.log_likelihood(np.concatenate(states), tokens.ravel())[used.ravel()].mean()
+
+    grads, rows, _ = network.window_gradients(h, inputs, tokens, used, fresh)
+    assert rows.tolist() == sorted(set(inputs.ravel().tolist()))
+    for name, slope in grads.items():
+        values = getattr(network, name)
+        for flat in np.argsort(-np.abs(slope).ravel())[:4].tolist():
+            at = np.unravel_index(flat, slope.shape)
+            place = (int(rows[at[0]]), at[1]) if name == "inputs" else at
+            kept = values[place]
+            values[place] = kept + 1e-5
+            up = loss()
+            values[place] = kept - 1e-5
+            down = loss()
+            values[place] = kept
+            assert abs((up - down) / 2e-5 - slope[at]) < 1e-5 * max(1, abs(slope[at])), name
+
+
+def test_language_model_scores_whole_documents_as_one_step_after_another_does():
+    import numpy as np
+
+    from ratescope.llm.language_model import SHAPES, score_documents
+
+    network, rng = _small_network(np.float32), np.random.default_rng(4)
+    lengths = np.array([1, 200, 3, 65, 1, 40, 64, 700])
+    tokens = rng.integers(0, 7 + SHAPES + 1, size=lengths.sum())
+    got = score_documents(network, tokens, lengths, window=16, lanes=3)
+    for i, document in enumerate(np.split(tokens, np.cumsum(lengths)[:-1])):
+        h, expected = np.zeros((1, 5), np.float32), 0.0
+        for before, token in zip([7 + SHAPES, *document], document):
+            h = network.step(h, network.inputs[[before]] + network.bias)[0]
+            expected += float(network.log_likelihood(h, np.array([token]))[0])
+        assert abs(got[i] - expected) < 1e-3 * max(1, abs(expected))
+
+
+def test_language_model_with_large_weights_stays_finite():
+    import numpy as np
+
+    network = _small_network(np.float32)
+    network.to_class *= 1000
+    states = np.random.default_rng(1).normal(size=(50, 5)).astype(np.float32)
+    tokens = np.arange(50) % 20
+    assert np.isfinite(network.log_likelihood(states, tokens)).all()
+    assert np.isfinite(network.gradients(states, tokens, np.ones(50, bool))[1]).all()
+
+
+def test_language_model_twice_is_the_same(spark, folder):
+    first, second = (sorted(map(str, QUERIES["op9_language_model"](spark, folder).collect())) for _ in range(2))
+    assert first == second
+
+
+def test_portions_hold_all_texts():
+    import numpy as np
+
+    from ratescope.llm import language_model as lm
+
+    known = lm.Vocabulary({b"a": 0, b"bb": 1}, np.array([0, 1], np.int32), np.zeros(2), 2, 1, 1, 1, np.ones(lm.SHAPES), np.ones(lm.SHAPES), np.ones(2))
+    texts = ["a bb zzz a", None, "", "q " * 50, "A"]
+    for most in (1, 6, 1000):
+        found = list(lm.portions(texts, known, {}, most))
+        assert np.concatenate([p.lengths for p in found]).tolist() == [5, 1, 1, 51, 2]
+        assert [w for p in found for w in p.unknown] == [[b"zzz"], [], [], [b"q"] * 50, []]
+        tokens = np.concatenate([p.tokens for p in found]).tolist()
+        assert tokens[:5] == [0, 1, 2 + lm.shape(b"zzz"), 0, 2 + lm.SHAPES] and tokens[-2:] == [0, 2 + lm.SHAPES]
+
+
 def test_line_dedup(spark, folder):
     got = rows(QUERIES["op10_line_dedup"](spark, folder), "doc_id", "n_lines", "n_dropped", "kept_sha256")
     assert got == Counter(brute.line_dedup(DOCS))
