@@ -6,8 +6,10 @@ add-one share of the class. The recurrent network gives the class of the next wo
 the word, each by a softmax of its own, so a step costs about the root of the vocabulary. It is trained by truncated
 backpropagation in numpy on all training documents, each in one of the rounds. In a round the tasks that read the
 documents learn side by side, so there are as many as the input has splits, and their parameters are averaged; the number
-of rounds grows with the logarithm of the tokens. In scoring, documents run side by side in lanes and the state is carried
-from window to window, so a score is the log-likelihood of the complete document, however long.
+of rounds grows with the logarithm of the tokens. In learning, a document of more than ``SEGMENT`` tokens is learnt from
+in parts of that length side by side, each from an empty state. In scoring, documents run side by side in lanes and the
+state is carried from window to window, so a score is the log-likelihood of the complete document, however long. Texts
+are turned into the model's tokens once, in a written table that learning and scoring read.
 
 Counts of the ``KNOWN`` most frequent words travel to the scoring tasks (some 30 MB at most); counts of all others are
 joined. Parameters are averaged as whole numbers, so the order in which tasks end does not matter.
@@ -42,11 +44,16 @@ ROUNDS = 3
 ROUND_TOKENS = 15_000_000
 #: Tokens of the documents that a task holds side by side.
 PORTION = 4_000_000
+#: Tokens of a document that are learnt from in one lane.
+SEGMENT = 2_048
 #: Classes of words beyond the head: letters only or not, ASCII or not, four lengths.
 SHAPES = 16
 
 _COUNTS = "word binary, n bigint"
-_SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, model double, rare array<struct<word: binary, n: int>>"
+#: Tokens are numbers of 16 bits, which holds some 30,000 words of the head.
+_NUMBERED = (
+    "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, share double, tokens binary, rare array<struct<word: binary, n: int>>"
+)
 _PIECE = "piece int, tokens bigint, values array<bigint>"
 _PIECE_SIZE = 4096
 #: Parameters times tokens are summed in steps of one over this.
@@ -439,12 +446,72 @@ def _adam(values: np.ndarray, slope: np.ndarray, moments: dict, name: str, rows,
     values[rows] -= rate * (first[rows] / (1 - 0.9**steps)) / (np.sqrt(second[rows] / (1 - 0.98**steps)) + 1e-6)
 
 
+def _number(sent):
+    """Texts as tokens, with what the counts say of them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vocabulary: Vocabulary = sent.value
+        shapes: dict = {}
+        log_base = math.log10(vocabulary.tokens + vocabulary.types + 1)
+        end_log, n_head = math.log10(vocabulary.n_docs + 1), vocabulary.n_head
+        rest = np.append(np.log10(vocabulary.shape_tokens + vocabulary.shape_types + 1), 0.0)
+        for batch in batches:
+            begin = 0
+            for p in portions(batch["text"], vocabulary, shapes):
+                n = len(p.lengths)
+                of = np.repeat(np.arange(n), p.lengths)
+                held, apart = p.numbers >= 0, p.tokens >= n_head
+                logs = np.zeros(len(of))
+                logs[held] = vocabulary.known_logs[p.numbers[held]]
+                # A word beyond the head has its share of its class.
+                share = np.bincount(of[apart], logs[apart] - rest[p.tokens[apart] - n_head], minlength=n)
+                rows, begin = batch.iloc[begin:begin + n], begin + n
+                yield pd.DataFrame({
+                    "row": rows["row"].to_numpy(), "doc_id": rows["doc_id"].astype("Int64").array, "n_tokens": p.lengths,
+                    "n_known": np.bincount(of[held], minlength=n) + int(vocabulary.n_docs > 0),
+                    "base": end_log + np.bincount(of, logs, minlength=n) - p.lengths * log_base, "share": share,
+                    "tokens": [t.tobytes() for t in np.split(p.tokens.astype(np.int16), np.cumsum(p.lengths)[:-1])],
+                    "rare": [[{"word": w, "n": c} for w, c in Counter(words).items()] for words in p.unknown],
+                })
+
+    return run
+
+
+def numbered(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """doc_id and text as tokens. A written row keeps its number, so rows that repeat a doc_id stay apart."""
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return write_stage(rows.mapInPandas(_number(sent), _NUMBERED), "numbered-documents")
+
+
+def _held_tokens(each, most: int = PORTION) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens and lengths of documents, together some ``most`` tokens at a time."""
+    held, n = [], 0
+    for document in each:
+        tokens = np.frombuffer(document, np.int16)
+        if held and n + len(tokens) > most:
+            yield np.concatenate(held), np.fromiter(map(len, held), np.int64, len(held))
+            held, n = [], 0
+        held.append(tokens)
+        n += len(tokens)
+    if held:
+        yield np.concatenate(held), np.fromiter(map(len, held), np.int64, len(held))
+
+
+def in_segments(lengths: np.ndarray, most: int = SEGMENT) -> np.ndarray:
+    """Lengths of the parts that documents are cut into."""
+    parts = -(-lengths // most)
+    out = np.full(int(parts.sum()), most, np.int64)
+    out[np.cumsum(parts) - 1] = lengths - (parts - 1) * most
+    return out
+
+
 def _trainer(sent, rate: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, network = sent.value
-        moments, shapes, seen = {"step": 0}, {}, 0
-        for portion in portions((t for batch in batches for t in batch["text"]), vocabulary, shapes):
-            seen += learn(network, portion.tokens, portion.lengths, moments, rate)
+        network: Network = sent.value
+        moments, seen = {"step": 0}, 0
+        for tokens, lengths in _held_tokens(t for batch in batches for t in batch["tokens"]):
+            seen += learn(network, tokens, in_segments(lengths), moments, rate)
         if seen:
             values = np.rint(network.flat().astype(np.float64) * seen * _FINE).astype(np.int64)
             starts = range(0, len(values), _PIECE_SIZE)
@@ -466,15 +533,15 @@ def _summed_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def train(training: DataFrame, vocabulary: Vocabulary, rounds: int | None = None) -> Network:
-    """Each round learns from other documents, side by side where they are read; together they learn from all."""
+    """Each round learns from other documents, side by side where they are read; together they learn from all of ``training``."""
     spark = training.sparkSession
     network = Network(vocabulary.head_counts, vocabulary.shape_tokens, vocabulary.n_docs)
     rounds = rounds or max(ROUNDS, math.ceil(math.log2(max(1.0, vocabulary.tokens / ROUND_TOKENS))))
-    turn = F.pmod(F.xxhash64("doc_id"), F.lit(rounds))
+    turn = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rounds))
     pieces = -(-len(network.flat()) // _PIECE_SIZE)
     for at in range(rounds):
-        sent = spark.sparkContext.broadcast((vocabulary, network))
-        parts = training.where(turn == at).select("text").mapInPandas(_trainer(sent, 0.01 / (1 + at)), _PIECE)
+        sent = spark.sparkContext.broadcast(network)
+        parts = training.where(turn == at).select("tokens").mapInPandas(_trainer(sent, 0.01 / (1 + at)), _PIECE)
         # A task adds the pieces of its numbers up as they come, so it holds a sum or two, however many trainers there are.
         got = parts.repartition(pieces, "piece").mapInPandas(_summed_pieces, _PIECE).toPandas().sort_values("piece")
         if len(got):
@@ -484,37 +551,6 @@ def train(training: DataFrame, vocabulary: Vocabulary, rounds: int | None = None
     return network
 
 
-def _scorer(sent):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, network = sent.value
-        shapes: dict = {}
-        log_base = math.log10(vocabulary.tokens + vocabulary.types + 1)
-        end_log, n_head = math.log10(vocabulary.n_docs + 1), vocabulary.n_head
-        rest = np.append(np.log10(vocabulary.shape_tokens + vocabulary.shape_types + 1), 0.0)
-        for batch in batches:
-            base, model, known, lengths, rare = [], [], [], [], []
-            for p in portions(batch["text"], vocabulary, shapes):
-                of = np.repeat(np.arange(len(p.lengths)), p.lengths)
-                sums = lambda values, at: np.bincount(of[at], values, minlength=len(p.lengths))  # noqa: E731, B023
-                held, apart = p.numbers >= 0, p.tokens >= n_head
-                logs = np.zeros(len(of))
-                logs[held] = vocabulary.known_logs[p.numbers[held]]
-                base.append(end_log + sums(logs, slice(None)) - p.lengths * log_base)
-                # A word beyond the head has its share of its class.
-                share = sums(logs[apart] - rest[p.tokens[apart] - n_head], apart)
-                model.append(score_documents(network, p.tokens, p.lengths) / math.log(10) + share)
-                known.append(np.bincount(of[held], minlength=len(p.lengths)) + int(vocabulary.n_docs > 0))
-                lengths.append(p.lengths)
-                rare.extend([{"word": w, "n": c} for w, c in Counter(words).items()] for words in p.unknown)
-            if base:
-                yield pd.DataFrame({
-                    "row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": np.concatenate(lengths), "n_known": np.concatenate(known),
-                    "base": np.concatenate(base), "model": np.concatenate(model), "rare": rare,
-                })
-
-    return run
-
-
 def score_documents(network: Network, tokens: np.ndarray, lengths: np.ndarray, window: int = 32, lanes: int = LANES) -> np.ndarray:
     """Natural log-likelihood of each document over classes and head words."""
     out = np.zeros(len(lengths))
@@ -538,24 +574,28 @@ def score_documents(network: Network, tokens: np.ndarray, lengths: np.ndarray, w
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    numbered = docs.select("doc_id", "text")
-    training = numbered.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    learns = F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+    training = docs.select("doc_id", "text").where(learns)
     counts = word_counts(training)
     known = vocabulary(counts, training.count())
-    network = train(training, known) if known.n_docs else Network(known.head_counts, known.shape_tokens, 0)
-    sent = spark.sparkContext.broadcast((known, network))
-    # A written row keeps its number, so rows that repeat a doc_id stay apart.
-    rows = numbered.withColumn("row", F.monotonically_increasing_id())
-    scored = write_stage(rows.mapInPandas(_scorer(sent), _SCORED), "scored-documents")
-    rare = scored.select("row", F.inline("rare"))
-    seen = rare.join(counts.toDF("_word", "count"), F.col("word") == F.col("_word"))
+    tokens = numbered(docs, known)
+    network = train(tokens.where(learns), known) if known.n_docs else Network(known.head_counts, known.shape_tokens, 0)
+    sent = docs.sparkSession.sparkContext.broadcast(network)
+
+    @F.pandas_udf("double")
+    def likelihood(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            found = [score_documents(sent.value, t, n) / math.log(10) for t, n in _held_tokens(batch)]
+            yield pd.Series(np.concatenate(found) if found else np.empty(0))
+
+    seen = tokens.select("row", F.inline("rare")).join(counts.toDF("_word", "count"), F.col("word") == F.col("_word"))
     gains = seen.groupBy(F.col("row").alias("_row")).agg(
         F.sum(F.col("n") * F.log10(F.col("count") + 1)).alias("gain"), F.sum("n").alias("hits")
     )
     gain = F.coalesce("gain", F.lit(0.0))
-    model = F.col("model") if known.n_docs else F.col("base")
-    return scored.drop("rare").join(gains, F.col("row") == F.col("_row"), "left").select(
+    scored = tokens.select("row", "doc_id", "n_tokens", "n_known", "base", "share", likelihood("tokens").alias("likely"))
+    model = F.col("likely") + F.col("share") if known.n_docs else F.col("base")
+    return scored.join(gains, F.col("row") == F.col("_row"), "left").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("hits", F.lit(0))).alias("n_known"), F.lit(known.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + gain).alias("base_score"), (model + gain).alias("score"),

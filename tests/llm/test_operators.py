@@ -243,7 +243,7 @@ def test_language_model_learns_from_every_training_token(spark, folder):
     docs = documents(spark, folder)
     training = docs.where(docs.doc_id.isNotNull() & ~language_model.held_out(docs.doc_id))
     known = language_model.vocabulary(language_model.word_counts(training), training.count())
-    assert language_model.train(training, known).seen == known.tokens > 0
+    assert language_model.train(language_model.numbered(training, known), known).seen == known.tokens > 0
 
 
 def test_language_model_is_a_distribution():
@@ -364,6 +364,14 @@ def test_language_model_twice_is_the_same(spark, folder):
     assert first == second
 
 
+def test_segments_hold_all_tokens():
+    import numpy as np
+
+    from ratescope.llm.language_model import in_segments
+
+    assert in_segments(np.array([1, 4, 5, 12, 8]), 4).tolist() == [1, 4, 4, 1, 4, 4, 4, 4, 4]
+
+
 def test_portions_hold_all_texts():
     import numpy as np
 
