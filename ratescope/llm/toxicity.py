@@ -5,13 +5,17 @@ how often each voter speaks on toxic and on other documents, and how far voters
 voters share one voice. Its posterior labels train a linear classifier over words and word beginnings, which scores every
 whole text in Spark tasks.
 
-The label model and the classifier are fitted on a bounded sample: at most ``MAX_LABELLED`` labelled documents and
-``MAX_UNLABELLED`` others, chosen by a hash of doc_id, none of them held out. Scores cover all documents. Only the text
-enters a score.
-
-Null and empty texts score what the classifier says without any word. Rows with a null doc_id are scored, count as not
-held out and are not learned from; repeated rows get equal scores; labels for a doc_id without document, with null or
-contradicting values are left out. Without any usable label every score is 0.5. A table without rows gives no rows.
+The lexicon and the classifier are fitted on a bounded sample of labelled documents, at most ``MAX_LABELLED``, chosen by a
+hash of doc_id, none of them held out. The label model sees the votes on all documents that are not held out: one pass
+counts how often each combination of votes (and label of the sample) occurs, and a round of expectation-maximisation is
+one aggregate over these counts, of which a few numbers per voter reach the driver. Scores cover all documents. Only the
+text enters a score.
+
+Null and empty texts score what the classifier says without any word; very long ones vote and score as a whole. Rows with
+a null doc_id are scored, count as not held out and are not learned from; repeated rows vote and count each, and get
+equal scores; entries that speak equally well for toxicity are taken by the number of their slot; labels for a doc_id
+without document, with null or contradicting values are left out. Without any usable label every score is 0.5. A table
+without rows gives no rows.
 """
 
 from __future__ import annotations
@@ -26,8 +30,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratescope.llm.common import write_stage
+
 MAX_LABELLED = 16_000
-MAX_UNLABELLED = 1_000
 #: Slots of the hashed features.
 SLOTS = 1 << 18
 LEXICON = 120
@@ -36,6 +41,10 @@ TOXIC_FROM = 0.7
 LEAST_CORRELATION = 0.2
 _CACHED_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
+_ASCII = re.compile(r"[\x00-\x7f]+")
+_CAPITALS = bytes(range(65, 91))
+_SMALL_LETTERS = bytes(range(97, 123))
+N_PATTERNS = 4
 _BEGINNINGS = (5, 7)
 
 
@@ -62,14 +71,27 @@ def text_words(text) -> set[str]:
     return set(_WORD.findall(text.lower())) if isinstance(text, str) else set()
 
 
+def letters_of(text: str) -> tuple[int, int]:
+    """Capital letters and letters of a whole text."""
+    raw = text.encode("utf-8", "surrogatepass")
+    without = raw.translate(None, _CAPITALS)
+    capitals = len(raw) - len(without)
+    letters = capitals + len(without) - len(without.translate(None, _SMALL_LETTERS))
+    if not text.isascii():
+        others = _ASCII.sub("", text)
+        capitals += sum(map(str.isupper, others))
+        letters += sum(map(str.isalpha, others))
+    return capitals, letters
+
+
 def patterns(text) -> list[bool]:
     """Pattern voters: shouting, many exclamation marks, many symbols, one word over and over."""
     if not isinstance(text, str) or not text:
-        return [False] * 4
+        return [False] * N_PATTERNS
     words = max(1, text.count(" ") + text.count("\n"))
-    letters = sum(map(str.isalpha, text[:2000])) or 1
+    capitals, letters = letters_of(text)
     return [
-        sum(map(str.isupper, text[:2000])) > 0.5 * letters,
+        capitals > 0.5 * max(1, letters),
         text.count("!") > 0.2 * words,
         sum(text.count(c) for c in "#*$%&|") > 0.2 * words,
         len(set(text.split())) < 0.2 * words,
@@ -86,30 +108,62 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"toxic": batch["toxic"], "slots": held, "said": said})
 
 
-def sample(docs: DataFrame, labels: DataFrame, most_labelled: int, most_unlabelled: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Slots, patterns and label (1, 0, or -1 for none) of the documents to learn from."""
+def labelled_ids(labels: DataFrame, most: int) -> DataFrame:
+    """doc_id and toxic of at most ``most`` documents to learn from; labels that contradict each other are left out."""
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_other"))
+        .groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").alias("_other"))
         .where(F.col("toxic") == F.col("_other")).select("doc_id", "toxic")
     )
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labelled)
-    more = (
-        docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id")
-        .orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(most_unlabelled)
-        .select("doc_id", F.lit(None).cast("int").alias("toxic"))
-    )
-    ids = chosen.unionByName(more).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    # At most the two bounds together, so the ids may be sent to every task.
-    picked = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    rows = picked.select("text", F.coalesce("toxic", F.lit(-1)).alias("toxic")).mapInPandas(
-        _describe, "toxic int, slots binary, said binary"
-    ).toPandas()
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
+def sample(docs: DataFrame, ids: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Slots, patterns and label of the labelled documents; ``ids`` has a proven bound and goes to every task."""
+    picked = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    rows = picked.mapInPandas(_describe, "toxic int, slots binary, said binary").toPandas()
     rows = sorted((int(t), bytes(held), bytes(said)) for t, held, said in zip(rows["toxic"], rows["slots"], rows["said"]))
-    said = np.frombuffer(b"".join(r[2] for r in rows), dtype=bool).reshape(len(rows), 4)
+    said = np.frombuffer(b"".join(r[2] for r in rows), dtype=bool).reshape(len(rows), N_PATTERNS)
     return [np.frombuffer(r[1], dtype=np.int32) for r in rows], said, np.array([r[0] for r in rows], dtype=np.int64)
 
 
+def _cast_votes(entries):
+    """What the lexicon entries and the patterns say of each text, as packed bits."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        number = {int(slot): i for i, slot in enumerate(entries.value)}
+        slots, known = WordSlots(), {}
+        for texts in batches:
+            votes = np.zeros((len(texts), len(number) + N_PATTERNS), dtype=bool)
+            for row, text in enumerate(texts):
+                for word in text_words(text):
+                    mine = known.get(word)
+                    if mine is None:
+                        if len(known) >= _CACHED_WORDS:
+                            known.clear()
+                        mine = known[word] = [number[s] for s in slots[word] if s in number]
+                    if mine:
+                        votes[row, mine] = True
+                votes[row, len(number):] = patterns(text)
+            yield pd.Series([v.tobytes() for v in np.packbits(votes, axis=1)], dtype=object)
+
+    return run
+
+
+def vote_counts(docs: DataFrame, ids: DataFrame, entries: np.ndarray) -> DataFrame:
+    """votes, label (1, 0, or -1 for none) and n: how many documents not held out have them."""
+    sent = docs.sparkSession.sparkContext.broadcast(entries)
+
+    @F.pandas_udf("binary")
+    def cast_votes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from _cast_votes(sent)(batches)
+
+    learnt = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", cast_votes("text").alias("votes"))
+    named = ids.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic"))
+    label = F.coalesce("_toxic", F.lit(-1)).alias("label")
+    return learnt.join(F.broadcast(named), F.col("doc_id") == F.col("_id"), "left").groupBy("votes", label).agg(F.count("*").alias("n"))
+
+
 def choose_lexicon(slots: list[np.ndarray], label: np.ndarray, most: int = LEXICON) -> np.ndarray:
     """Entries that speak for toxicity most reliably, by a cautious estimate of their share of toxic documents."""
     toxic, clean = np.zeros(SLOTS), np.zeros(SLOTS)
@@ -141,23 +195,74 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def fit_label_model(votes: np.ndarray, label: np.ndarray, rounds: int = 15) -> LabelModel:
-    """Expectation-maximisation from the labels; correlations are those left within the classes."""
-    x = votes.astype(float)
-    n = len(x)
-    soft = np.where(label >= 0, label, label[label >= 0].mean() if (label >= 0).any() else 0.5).astype(float)
+_SUMS = "sums array<double>"
+
+
+def _unpacked(batch: pd.DataFrame, voters: int) -> np.ndarray:
+    packed = np.frombuffer(b"".join(map(bytes, batch["votes"])), np.uint8).reshape(len(batch), -1)
+    return np.unpackbits(packed, axis=1, count=voters).astype(float)
+
+
+def _moments(voters: int):
+    """Documents, votes of each voter, and votes of each pair."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 + voters + voters * voters)
+        for batch in batches:
+            if len(batch):
+                x, n = _unpacked(batch, voters), batch["n"].to_numpy(float)
+                total += np.concatenate([[n.sum()], n @ x, ((x * n[:, None]).T @ x).ravel()])
+        yield pd.DataFrame({"sums": [total]})
+
+    return run
+
+
+def _soft_sums(voters: int, model: "LabelModel | None", share: float):
+    """Sums of the soft labels, of their squares, and of the votes weighted by them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(2 + voters)
+        for batch in batches:
+            if len(batch):
+                x, n, label = _unpacked(batch, voters), batch["n"].to_numpy(float), batch["label"].to_numpy()
+                soft = np.where(label >= 0, label, share) if model is None else model.posterior(x, label)
+                total += np.concatenate([[n @ soft, n @ soft**2], (n * soft) @ x])
+        yield pd.DataFrame({"sums": [total]})
+
+    return run
+
+
+def _summed(counts: DataFrame, run) -> np.ndarray:
+    """Sums over all tasks; each sends some numbers per voter, and Spark adds them up."""
+    parts = counts.mapInPandas(run, _SUMS).select(F.posexplode("sums").alias("place", "value"))
+    rows = parts.groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").collect()
+    return np.array([r["value"] for r in rows])
+
+
+def fit_label_model(counts: DataFrame, voters: int, rounds: int = 15) -> LabelModel:
+    """Expectation-maximisation from the labels over counted votes; correlations are those left within the classes.
+
+    With s the soft label of a document, a voter is expected to speak at rate r0 + s (r1 - r0); what is left of all pairs'
+    votes follows from the pairs' votes themselves and from the sums of s, of its square and of s times the votes.
+    """
+    fixed = _summed(counts, _moments(voters))
+    n, said, pairs = fixed[0], fixed[1:1 + voters], fixed[1 + voters:].reshape(voters, voters)
+    known = counts.where("label >= 0").agg(F.sum(F.col("n") * F.col("label")) / F.sum("n")).first()[0]
     model = None
     for _ in range(rounds):
-        weight = np.array([n - soft.sum(), soft.sum()])
-        rates = np.array([(1 - soft) @ x + 0.1, soft @ x + 0.2]) / (weight + 2)[:, None]
+        sums = _summed(counts, _soft_sums(voters, model, 0.5 if known is None else float(known)))
+        soft, squares, soft_said = sums[0], sums[1], sums[2:]
+        weight = np.array([n - soft, soft])
+        rates = np.array([said - soft_said + 0.1, soft_said + 0.2]) / (weight + 2)[:, None]
         rates = np.clip(rates, 1e-4, 0.999)
-        expected = soft[:, None] * rates[1] + (1 - soft)[:, None] * rates[0]
-        rest = x - expected
-        spread = rest.std(axis=0) + 1e-9
-        together = (rest.T @ rest) / n / np.outer(spread, spread)
+        low, gap = rates[0], rates[1] - rates[0]
+        both = lambda a, b: np.outer(a, b) + np.outer(b, a)
+        left = pairs - both(said, low) + n * np.outer(low, low) - both(soft_said, gap) + soft * both(low, gap) + squares * np.outer(gap, gap)
+        mean = (said - n * low - soft * gap) / n
+        spread = np.sqrt(np.maximum(np.diag(left) / n - mean**2, 0)) + 1e-9
+        together = left / n / np.outer(spread, spread)
         together = np.where(together > LEAST_CORRELATION, np.minimum(together, 1), 0)
-        model = LabelModel(float(np.clip(soft.mean(), 0.01, 0.9)), rates, 1 / np.clip(together.sum(axis=1), 1, None))
-        soft = model.posterior(x, label)
+        model = LabelModel(float(np.clip(soft / n, 0.01, 0.9)), rates, 1 / np.clip(together.sum(axis=1), 1, None))
     return model
 
 
@@ -194,13 +299,15 @@ def fit_classifier(slots: list[np.ndarray], target: np.ndarray, rounds: int = 60
     return weights[:SLOTS].astype(np.float32), float(weights[SLOTS])
 
 
-def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MAX_LABELLED, most_unlabelled: int = MAX_UNLABELLED) -> tuple[np.ndarray, float]:
-    slots, said, label = sample(docs, labels, most_labelled, most_unlabelled)
-    if not len(slots) or not (label >= 0).any():
+def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MAX_LABELLED) -> tuple[np.ndarray, float]:
+    ids = write_stage(labelled_ids(labels, most_labelled), "toxicity-labelled")
+    slots, said, label = sample(docs, ids)
+    if not len(slots):
         return np.zeros(SLOTS, dtype=np.float32), 0.0
     entries = choose_lexicon(slots, label)
+    counts = write_stage(vote_counts(docs, ids, entries), "toxicity-votes")
+    model = fit_label_model(counts, len(entries) + N_PATTERNS)
     votes = np.concatenate([np.array([np.isin(entries, s) for s in slots]).reshape(len(slots), -1), said], axis=1)
-    model = fit_label_model(votes, label)
     return fit_classifier(slots, model.posterior(votes.astype(float), label))
 
 

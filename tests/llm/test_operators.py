@@ -162,6 +162,47 @@ def test_toxicity_over_awkward_rows(spark, folder):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_pattern_voters_read_whole_texts():
+    from ratescope.llm.toxicity import letters_of, patterns
+
+    quiet, loud = "small words go on and on here " * 100, "SHOUTING AT EVERYONE HERE " * 2_000
+    assert patterns(quiet + loud)[0] and not patterns("HEADLINE " * 250 + quiet * 20)[0]
+    assert not patterns("Ü" * 10 + "ü" * 10)[0] and patterns("ÜÄ ÖÉ !")[0]
+    for text in ("aB Cé ÉÀ1 漢字 ß", "", "ABC"):
+        assert letters_of(text) == (sum(map(str.isupper, text)), sum(map(str.isalpha, text)))
+
+
+def test_label_model_equals_one_fitted_in_memory(spark, folder):
+    """Expectation-maximisation over counted votes against the same over rows, and all documents not held out are in it."""
+    import numpy as np
+
+    from ratescope.llm import toxicity
+    from ratescope.llm.common import documents, read_table
+
+    docs = documents(spark, folder)
+    ids = toxicity.labelled_ids(read_table(spark, folder, "labels"), 1_000)
+    slots, _, label = toxicity.sample(docs, ids)
+    entries = np.unique(np.concatenate(slots))[::40][:30]
+    counts = toxicity.vote_counts(docs, ids, entries)
+    voters = len(entries) + toxicity.N_PATTERNS
+    rows = counts.toPandas()
+    assert rows["n"].sum() == sum(i is not None and brute.crc(i) % 3 != 1 for i, _ in DOCS) and len(rows) > 20
+    model = toxicity.fit_label_model(counts, voters)
+    x = np.repeat(toxicity._unpacked(rows, voters), rows["n"], axis=0)
+    y = np.repeat(rows["label"].to_numpy(), rows["n"])
+    soft = np.where(y >= 0, y, y[y >= 0].mean()).astype(float)
+    for _ in range(15):
+        weight = np.array([len(x) - soft.sum(), soft.sum()])
+        rates = np.clip(np.array([(1 - soft) @ x + 0.1, soft @ x + 0.2]) / (weight + 2)[:, None], 1e-4, 0.999)
+        rest = x - (soft[:, None] * rates[1] + (1 - soft)[:, None] * rates[0])
+        spread = rest.std(axis=0) + 1e-9
+        together = (rest.T @ rest) / len(x) / np.outer(spread, spread)
+        together = np.where(together > toxicity.LEAST_CORRELATION, np.minimum(together, 1), 0)
+        plain = toxicity.LabelModel(float(np.clip(soft.mean(), 0.01, 0.9)), rates, 1 / np.clip(together.sum(axis=1), 1, None))
+        soft = plain.posterior(x, y)
+    assert np.allclose(model.rates, plain.rates) and np.allclose(model.voice, plain.voice, atol=1e-4) and np.isclose(model.prior, plain.prior)
+
+
 def test_mixing(spark, folder):
     first = rows(QUERIES["op7_mixing"](spark, folder), "doc_id", "size", "source_size", "target", "taken")
     assert first == rows(QUERIES["op7_mixing"](spark, folder), "doc_id", "size", "source_size", "target", "taken")
