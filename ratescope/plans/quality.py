@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ratescope.functions import names_overlap
 from ratescope.plans.diagnostics import duplicate_groups
 from ratescope.plans.manifest import landed_pages
+from ratescope.sinks.scratch import write_stage
 from ratescope.sources.streams import open_stream
 
 PASS, WARN, FAIL = "pass", "warn", "fail"
@@ -64,24 +66,113 @@ def negative_rates(rates: DataFrame) -> DataFrame:
     return rates.filter(F.col("negotiated_dollar") < 0)
 
 
-def inconsistent_spread(variation: DataFrame) -> DataFrame:
+def _spread_is_wrong() -> Column:
     low, mid, high = F.col("min_rate"), F.col("median_rate"), F.col("max_rate")
-    return variation.filter((F.col("n_dollar_rates") > 0) & ((low > mid) | (mid > high) | (low > high)))
-
-
-# ------------------------------------------------------------------------------------- result rows
-def as_result(bad: DataFrame, subject: str, check: str, severity: str = FAIL) -> DataFrame:
-    """One result row from a DataFrame of bad rows."""
-    n = bad.agg(F.count("*").alias("n_bad"))
-    return n.select(
-        F.lit(subject).alias("subject"),
-        F.lit(check).alias("check_name"),
-        F.when(F.col("n_bad") == 0, F.lit(PASS)).otherwise(F.lit(severity)).alias("status"),
-        "n_bad",
-        F.concat(F.col("n_bad").cast("string"), F.lit(" bad row(s)")).alias("detail"),
+    return (F.col("n_dollar_rates") > 0) & ((low > mid) | (mid > high) | (low > high))
+
+
+def inconsistent_spread(variation: DataFrame) -> DataFrame:
+    return variation.filter(_spread_is_wrong())
+
+
+# ------------------------------------------------------------------------- declared checks of a table
+@dataclass(frozen=True)
+class Check:
+    """What a table is held against. ``bad`` tells bad rows, or with ``keys`` bad groups of equal keys of ``_n`` rows.
+
+    With ``parent`` (values, column) a group is bad too if the column's value is not among the parent's.
+    """
+
+    name: str
+    bad: Column | None
+    keys: tuple[str, ...] = ()
+    parent: tuple[DataFrame, str] | None = None
+    severity: str = FAIL
+
+
+def not_null(*columns: str) -> list[Check]:
+    return [Check(f"not_null {c}", F.col(c).isNull()) for c in columns]
+
+
+def unique(*columns: str) -> list[Check]:
+    """No value occurs twice. NULLs are not compared."""
+    return [Check(f"unique {c}", F.col(c).isNotNull() & (F.col("_n") > 1), (c,)) for c in columns]
+
+
+def accepted(column: str, values: Sequence) -> Check:
+    """Counts the values outside the list. NULL passes."""
+    return Check(f"accepted_values {column}", ~F.col(column).isin(list(values)), (column,))
+
+
+def unique_together(columns: Sequence[str], severity: str = FAIL) -> Check:
+    """No combination occurs twice. NULLs are equal."""
+    return Check("unique_combination", F.col("_n") > 1, tuple(columns), severity=severity)
+
+
+def related(column: str, parent: DataFrame, parent_column: str, severity: str = FAIL) -> Check:
+    """Counts the values without a parent row. NULL passes."""
+    return Check(f"relationships {column}", None, (column,), (parent, parent_column), severity)
+
+
+def no_negative(column: str, name: str) -> Check:
+    return Check(name, F.col(column) < 0)
+
+
+def ordered_spread() -> Check:
+    return Check("min_not_above_max", _spread_is_wrong())
+
+
+def _verdicts(counted: DataFrame, subject: str, checks: Sequence[Check], places: Sequence[int]) -> DataFrame:
+    """Result rows from one row whose column ``_<place>`` counts what is bad."""
+    rows = F.array(*[
+        F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.col(f"_{i}").cast("bigint").alias("n_bad"))
+        for c, i in zip(checks, places)
+    ])
+    flat = counted.select(F.inline(rows))
+    return flat.select(
+        F.lit(subject).alias("subject"), "check_name",
+        F.when(F.col("n_bad") == 0, F.lit(PASS)).otherwise(F.col("severity")).alias("status"),
+        "n_bad", F.concat(F.col("n_bad").cast("string"), F.lit(" bad row(s)")).alias("detail"),
     )
 
 
+def table_checks(df: DataFrame, subject: str, *checks: Check | Sequence[Check]) -> DataFrame:
+    """Result rows of all checks of a table, which is scanned twice at most.
+
+    Checks of rows become one aggregate. Checks of keys share one grouping by all their key sets; equal keys are combined
+    before the shuffle, so no key is hot. Where keys are looked up in a parent, the grouped keys are written and joined.
+    """
+    every = [c for given in checks for c in ([given] if isinstance(given, Check) else given)]
+    by_row = [(i, c) for i, c in enumerate(every) if not c.keys]
+    by_key = [(i, c) for i, c in enumerate(every) if c.keys]
+    found = []
+    if by_row:
+        counted = df.agg(*[F.count_if(c.bad).alias(f"_{i}") for i, c in by_row])
+        found.append(_verdicts(counted, subject, [c for _, c in by_row], [i for i, _ in by_row]))
+    if by_key:
+        columns = list(dict.fromkeys(k for _, c in by_key for k in c.keys))
+        sets = list(dict.fromkeys(frozenset(c.keys) for _, c in by_key))
+        # A bit of the grouping id is set for each column that a key set lacks, the first column's being the highest.
+        ids = {s: sum(1 << (len(columns) - 1 - at) for at, c in enumerate(columns) if c not in s) for s in sets}
+        of_set = lambda check: F.col("_set") == ids[frozenset(check.keys)]
+        grouped = df.groupingSets([[F.col(c) for c in columns if c in s] for s in sets], *[F.col(c) for c in columns]).agg(
+            F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set")
+        )
+        if any(c.parent for _, c in by_key):
+            grouped = write_stage(grouped, "checked-keys")
+        own = [(i, c) for i, c in by_key if not c.parent]
+        if own:
+            counted = grouped.agg(*[F.count_if(of_set(c) & c.bad).alias(f"_{i}") for i, c in own])
+            found.append(_verdicts(counted, subject, [c for _, c in own], [i for i, _ in own]))
+        for i, c in by_key:
+            if c.parent:
+                (column,) = c.keys
+                values = grouped.where(of_set(c) & F.col(column).isNotNull())
+                bad = orphans(values, column, *c.parent)
+                found.append(_verdicts(bad.agg(F.count(F.lit(1)).alias(f"_{i}")), subject, [c], [i]))
+    return report(found)
+
+
 def report(results: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
@@ -103,49 +194,32 @@ def model_checks(
         "source_key", "code_type", "code", "item_codes", "modifiers", "setting", "billing_class", "payer_name",
         "plan_name", "item_description", "rate_type", "methodology",
     ]
-    results: list[DataFrame] = []
-
-    def not_null(df: DataFrame, subject: str, *columns: str) -> None:
-        results.extend(as_result(null_rows(df, c), subject, f"not_null {c}") for c in columns)
-
-    def unique(df: DataFrame, subject: str, *columns: str) -> None:
-        results.extend(as_result(repeated_values(df, c), subject, f"unique {c}") for c in columns)
-
-    def related(df: DataFrame, subject: str, parent: DataFrame, severity: str = FAIL) -> None:
-        bad = orphans(df, "hospital_ccn", parent, "hospital_ccn")
-        results.append(as_result(bad, subject, "relationships hospital_ccn", severity))
-
+    tables = [
+        (rates, "silver_negotiated_rates", [
+            not_null("hospital_ccn", "code", "file_last_updated_on"), related("hospital_ccn", crosswalk, "hospital_ccn"),
+            accepted("rate_type", ["dollar", "percentage", "algorithm", "none"]), unique_together(grain, WARN),
+            no_negative("negotiated_dollar", "no_negative_dollar_rates"),
+        ]),
+        (headers, "stg_price_file_headers", [not_null("source_key", "last_updated_on"), unique("source_key")]),
+        (cms, "stg_cms_hospitals", [not_null("hospital_ccn")]),
+        (outcomes, "stg_cms_outcomes", [not_null("hospital_ccn"), unique("hospital_ccn")]),
+        (crosswalk, "hospital_crosswalk", [
+            not_null("source_key", "hospital_ccn"), unique("source_key", "hospital_ccn"), related("hospital_ccn", cms, "hospital_ccn", WARN),
+        ]),
+        (procedure_codes, "procedure_codes", [not_null("code")]),
+        (hospitals, "dim_hospital", [
+            not_null("hospital_ccn", "source_key"), unique("hospital_ccn", "source_key"), accepted("in_cms_general_info", [True, False]),
+        ]),
+        (variation, "gold_price_variation", [
+            not_null("hospital_ccn", "n_dollar_rates"), related("hospital_ccn", hospitals, "hospital_ccn"), ordered_spread(),
+        ]),
+        (across, "gold_price_variation_across_hospitals", [not_null("n_hospitals")]),
+        (vs_readmission, "gold_price_vs_readmission", [not_null("hospital_ccn"), related("hospital_ccn", hospitals, "hospital_ccn")]),
+    ]
     if general is not None:
-        not_null(general, "hospital_general_information", "facility_id")
-        unique(general, "hospital_general_information", "facility_id")
-    for key, items in (json_items or {}).items():
-        not_null(items, key, "raw_json")
-    not_null(rates, "silver_negotiated_rates", "hospital_ccn", "code", "file_last_updated_on")
-    related(rates, "silver_negotiated_rates", crosswalk)
-    kinds = unaccepted_values(rates, "rate_type", ["dollar", "percentage", "algorithm", "none"])
-    results.append(as_result(kinds, "silver_negotiated_rates", "accepted_values rate_type"))
-    results.append(as_result(repeated_combinations(rates, grain), "silver_negotiated_rates", "unique_combination", WARN))
-    results.append(as_result(negative_rates(rates), "silver_negotiated_rates", "no_negative_dollar_rates"))
-    not_null(headers, "stg_price_file_headers", "source_key", "last_updated_on")
-    unique(headers, "stg_price_file_headers", "source_key")
-    not_null(cms, "stg_cms_hospitals", "hospital_ccn")
-    not_null(outcomes, "stg_cms_outcomes", "hospital_ccn")
-    unique(outcomes, "stg_cms_outcomes", "hospital_ccn")
-    not_null(crosswalk, "hospital_crosswalk", "source_key", "hospital_ccn")
-    unique(crosswalk, "hospital_crosswalk", "source_key", "hospital_ccn")
-    related(crosswalk, "hospital_crosswalk", cms, WARN)
-    not_null(procedure_codes, "procedure_codes", "code")
-    not_null(hospitals, "dim_hospital", "hospital_ccn", "source_key")
-    unique(hospitals, "dim_hospital", "hospital_ccn", "source_key")
-    listed = unaccepted_values(hospitals, "in_cms_general_info", [True, False])
-    results.append(as_result(listed, "dim_hospital", "accepted_values in_cms_general_info"))
-    not_null(variation, "gold_price_variation", "hospital_ccn", "n_dollar_rates")
-    related(variation, "gold_price_variation", hospitals)
-    results.append(as_result(inconsistent_spread(variation), "gold_price_variation", "min_not_above_max"))
-    not_null(across, "gold_price_variation_across_hospitals", "n_hospitals")
-    not_null(vs_readmission, "gold_price_vs_readmission", "hospital_ccn")
-    related(vs_readmission, "gold_price_vs_readmission", hospitals)
-    return report(results)
+        tables.append((general, "hospital_general_information", [not_null("facility_id"), unique("facility_id")]))
+    tables += [(items, key, [not_null("raw_json")]) for key, items in (json_items or {}).items()]
+    return report([table_checks(df, subject, *checks) for df, subject, checks in tables])
 
 
 # ------------------------------------------------------------------------- landed pages and files

@@ -234,6 +234,69 @@ SELECT page_id, CASE
   WHEN page_id % 3 = 2 AND NOT zipped THEN 'expected a zip archive but the file signature is missing' END AS problem
 FROM parts"""
 
+_FILES = """
+WITH f AS (SELECT DISTINCT c_custkey // 100 AS k, (c_custkey // 100) % 7 AS r FROM customer),
+checks AS (
+  SELECT k, 'started_logged' AS check_name, r <> 5 AS good, 'fail' AS severity FROM f
+  UNION ALL SELECT k, 'no_failed_events', r <> 5, 'fail' FROM f
+  UNION ALL SELECT k, 'one_succeeded_row', false, 'fail' FROM f WHERE r = 4
+  UNION ALL SELECT k, 'download_or_skip', true, 'fail' FROM f WHERE k % 14 = 7
+  UNION ALL SELECT k, 'file_exists', r <> 3, 'fail' FROM f WHERE r <> 4
+  UNION ALL SELECT k, 'size_matches_manifest', r <> 1, 'fail' FROM f WHERE r NOT IN (3, 4)
+  UNION ALL SELECT k, 'min_bytes', r <> 6, 'fail' FROM f WHERE r NOT IN (3, 4)
+  UNION ALL SELECT k, 'checksum_matches', r <> 2, 'fail' FROM f WHERE r NOT IN (3, 4)
+  UNION ALL SELECT k, 'format_looks_right', true, 'warn' FROM f WHERE r NOT IN (3, 4)
+  UNION ALL SELECT k, 'hospital_name_in_file', r <> 6, 'warn' FROM f WHERE r NOT IN (3, 4)
+)
+SELECT 'f' || CAST(k AS VARCHAR) AS subject, check_name, CASE WHEN good THEN 'pass' ELSE severity END AS status,
+  CAST(CASE WHEN good THEN 0 ELSE 1 END AS BIGINT) AS n_bad FROM checks"""
+
+_PAGES = """
+WITH p AS (SELECT c_custkey // 500 AS page, count(*) AS n FROM customer GROUP BY ALL),
+a AS (SELECT count(*) AS pages, sum(n) AS n, max(page) - min(page) + 1 AS span, count(*) FILTER (page % 2 = 0) AS failed,
+  count(*) FILTER (page % 3 = 1) AS off FROM p),
+b AS (SELECT count(*) AS pages, (max(page) - min(page)) * 2 + 1 AS span, count(*) FILTER (page % 4 = 1) AS gone FROM p WHERE page % 3 <> 2),
+found(subject, check_name, severity, n_bad) AS (
+  SELECT 'a', 'started_logged', 'fail', 1 FROM a
+  UNION ALL SELECT 'a', 'no_failed_events', 'fail', failed FROM a
+  UNION ALL SELECT 'a', 'pages_landed', 'fail', 0 FROM a
+  UNION ALL SELECT 'a', 'pages_contiguous', 'fail', abs(span - pages) FROM a
+  UNION ALL SELECT 'a', 'files_exist', 'fail', 0 FROM a
+  UNION ALL SELECT 'a', 'no_stale_files', 'warn', 0 FROM a
+  UNION ALL SELECT 'a', 'pages_parse', 'fail', 0 FROM a
+  UNION ALL SELECT 'a', 'rows_reconcile', 'fail', 2 * off FROM a
+  UNION ALL SELECT 'a', 'min_rows', 'fail', greatest(1000000 - n, 0) FROM a
+  UNION ALL SELECT 'a', 'required_columns', 'fail', 1 FROM a
+  UNION ALL SELECT 'b', 'started_logged', 'fail', 0 FROM b
+  UNION ALL SELECT 'b', 'no_failed_events', 'fail', 0 FROM b
+  UNION ALL SELECT 'b', 'pages_landed', 'fail', 0 FROM b
+  UNION ALL SELECT 'b', 'pages_contiguous', 'fail', abs(span - pages) FROM b
+  UNION ALL SELECT 'b', 'files_exist', 'fail', gone FROM b
+  UNION ALL SELECT 'b', 'no_stale_files', 'warn', gone FROM b
+  UNION ALL SELECT 'b', t.name, 'fail', 0 FROM b, (VALUES ('pages_parse'), ('rows_reconcile'), ('min_rows')) t(name) WHERE gone = 0
+)
+SELECT subject, check_name, CASE WHEN n_bad = 0 THEN 'pass' ELSE severity END AS status, CAST(n_bad AS BIGINT) AS n_bad FROM found"""
+
+_TABLE_CHECKS = """
+WITH found(subject, check_name, severity, n_bad) AS (
+  SELECT 'orders', 'not_null o_custkey', 'fail', count(*) FROM orders WHERE o_custkey IS NULL
+  UNION ALL SELECT 'orders', 'not_null o_orderstatus', 'fail', count(*) FROM orders WHERE o_orderstatus IS NULL
+  UNION ALL SELECT 'orders', 'unique o_orderkey', 'fail', count(*) FROM (SELECT 1 FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1)
+  UNION ALL SELECT 'orders', 'unique o_custkey', 'fail', count(*) FROM (SELECT 1 FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1)
+  UNION ALL SELECT 'orders', 'accepted_values o_orderpriority', 'fail', count(DISTINCT o_orderpriority) FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')
+  UNION ALL SELECT 'orders', 'accepted_values o_orderstatus', 'fail', count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')
+  UNION ALL SELECT 'orders', 'unique_combination', 'warn', count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderstatus HAVING count(*) > 1)
+  UNION ALL SELECT 'orders', 'unique_combination', 'fail', count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey, o_orderstatus HAVING count(*) > 1)
+  UNION ALL SELECT 'orders', 'relationships o_custkey', 'fail', count(DISTINCT o_custkey) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+  UNION ALL SELECT 'events', 'accepted_values event_type', 'fail', count(DISTINCT event_type) FROM events WHERE event_type NOT IN ('view', 'click', 'signup')
+  UNION ALL SELECT 'events', 'unique user_id', 'fail', count(*) FROM (SELECT 1 FROM events WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(*) > 1)
+  UNION ALL SELECT 'events', 'relationships user_id', 'warn', count(DISTINCT user_id) FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders)
+  UNION ALL SELECT 'documents', 'unique doc_id', 'fail', count(*) FROM (SELECT 1 FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING count(*) > 1)
+  UNION ALL SELECT 'documents', 'relationships doc_id', 'fail', count(DISTINCT doc_id) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+)
+SELECT subject, check_name, CASE WHEN n_bad = 0 THEN 'pass' ELSE severity END AS status, n_bad,
+  CAST(n_bad AS VARCHAR) || ' bad row(s)' AS detail FROM found"""
+
 EXPECTED.update({
     "tall_csv_rates": f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, {_labelled('l_quantity >= 2', False)} {_TALL}",
     "tall_csv_featured_rates": f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, "
@@ -353,18 +416,17 @@ GROUP BY {_RATE_KEYS} HAVING count(*) > 1""",
     "dq_negative_rates": """SELECT c_custkey, round(c_acctbal - 2000, 6) AS negotiated_dollar FROM customer
 WHERE c_acctbal - 2000 < 0""",
     "dq_report": _REPORT,
-    "page_reconciliation": """
-WITH n AS (SELECT count(*) AS rows_on_disk FROM customer)
-SELECT 'customers' AS subject, t.check_name, t.status, CAST(t.n_bad AS BIGINT) AS n_bad FROM n, (VALUES
-  ('started_logged', 'pass', 0), ('no_failed_events', 'pass', 0), ('pages_landed', 'pass', 0),
-  ('pages_contiguous', 'pass', 0), ('files_exist', 'pass', 0), ('no_stale_files', 'pass', 0), ('pages_parse', 'pass', 0),
-  ('rows_reconcile', 'pass', 0), ('min_rows', 'pass', 0), ('required_columns', 'fail', 1)) t(check_name, status, n_bad)
-WHERE rows_on_disk >= 100""",
+    "dq_table_checks": _TABLE_CHECKS,
+    "page_reconciliation": _PAGES,
     "page_contiguity": _CONTIGUITY,
-    "file_reconciliation": """
-SELECT check_name, 'pass' AS status, CAST(0 AS BIGINT) AS n_bad FROM (VALUES ('started_logged'), ('no_failed_events'),
-  ('file_exists'), ('size_matches_manifest'), ('min_bytes'), ('checksum_matches'),
-  ('format_looks_right'), ('hospital_name_in_file')) t(check_name)
-WHERE (SELECT count(*) FROM lineitem) > 0""",
+    "file_reconciliation": _FILES,
+    "file_digests": """
+SELECT c_custkey // 100 AS file, CAST(strlen(content) AS BIGINT) AS length, sha256(content) AS sha256 FROM (
+  SELECT c_custkey // 100 AS c_custkey_file, min(c_custkey) AS c_custkey, 'hospital_name,version' || chr(10)
+    || CASE WHEN (min(c_custkey) // 100) % 7 = 6 THEN 'Lakeview' ELSE 'Riverside' END || ' Campus,2.0.0' || chr(10)
+    || 'description,code|1,standard_charge|gross' || chr(10)
+    || string_agg(c_name || ',' || c_mktsegment || ',' || c_custkey, chr(10) ORDER BY c_custkey) || chr(10) AS content
+  FROM customer GROUP BY c_custkey // 100
+)""",
     "payload_sniffing": _SNIFF,
 })

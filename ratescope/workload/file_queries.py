@@ -464,34 +464,50 @@ def dq_negative_rates(spark, sf_dir):
 
 @query
 def dq_report(spark, sf_dir):
-    """Several checks as one results table."""
+    """Declared checks of two tables as one results table; each table is scanned twice at most."""
     rates, variation = star.rates(spark, sf_dir), stored_variation(spark, sf_dir)
+    hospitals = star.hospitals(spark, sf_dir)
     return quality.report([
-        quality.as_result(quality.null_rows(rates, "code"), "rates", "not_null code"),
-        quality.as_result(quality.null_rows(rates, "file_last_updated_on"), "rates", "not_null file_last_updated_on"),
-        quality.as_result(quality.negative_rates(rates), "rates", "no_negative_dollar_rates"),
-        quality.as_result(quality.inconsistent_spread(variation), "variation", "min_not_above_max"),
-        quality.as_result(
-            quality.orphans(rates, "hospital_ccn", star.hospitals(spark, sf_dir), "hospital_ccn"),
-            "rates", "relationships hospital_ccn",
+        quality.table_checks(
+            rates, "rates", quality.not_null("code", "file_last_updated_on"),
+            quality.no_negative("negotiated_dollar", "no_negative_dollar_rates"),
+            quality.related("hospital_ccn", hospitals, "hospital_ccn"),
+            quality.unique_together(["source_key", "code", "payer_name", "plan_name"], quality.WARN),
         ),
-        quality.as_result(
-            quality.repeated_combinations(rates, ["source_key", "code", "payer_name", "plan_name"]),
-            "rates", "unique_combination", quality.WARN,
+        quality.table_checks(variation, "variation", quality.ordered_spread()),
+    ])
+
+
+@query
+def dq_table_checks(spark, sf_dir):
+    """Checks of orders, events and documents: rows, key sets and parents of one table side by side."""
+    orders, events = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events")
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.report([
+        quality.table_checks(
+            orders, "orders", quality.not_null("o_custkey", "o_orderstatus"), quality.unique("o_orderkey", "o_custkey"),
+            quality.accepted("o_orderpriority", ["1-URGENT", "5-LOW"]), quality.accepted("o_orderstatus", ["F", "O"]),
+            quality.unique_together(["o_custkey", "o_orderstatus"], quality.WARN), quality.unique_together(["o_orderkey", "o_orderstatus"]),
+            quality.related("o_custkey", table(spark, sf_dir, "customer"), "c_custkey"),
+        ),
+        quality.table_checks(
+            events, "events", quality.accepted("event_type", ["view", "click", "signup"]), quality.unique("user_id"),
+            quality.related("user_id", orders, "o_custkey", quality.WARN),
         ),
+        quality.table_checks(documents, "documents", quality.unique("doc_id"), quality.related("doc_id", labels, "doc_id")),
     ])
 
 
 @query
 def page_reconciliation(spark, sf_dir):
-    """All page checks of the newest run over the customer pages."""
-    log = files.page_manifest(spark, sf_dir)
-    paths = files.customer_pages(spark, sf_dir, "run-b")
+    """All page checks of a run over two sets of customer pages, against a log with faults."""
+    log = files.faulty_page_log(spark, sf_dir)
+    paths = files.customer_pages(spark, sf_dir, "run-a") + files.customer_pages(spark, sf_dir, "run-b")
     contents = quality.page_contents(spark, paths)
     requirements = spark.createDataFrame(
-        [("customers", 100, ["C_CUSTKEY", "zip"])], "dataset_key string, min_rows bigint, required_columns array<string>"
+        [("a", 1_000_000, ["C_CUSTKEY", "zip"]), ("b", 1, [])], "dataset_key string, min_rows bigint, required_columns array<string>"
     )
-    return quality.page_checks(log, "run-b", contents.select("path"), contents, requirements).drop("detail")
+    return quality.page_checks(log, "r", contents.select("path"), contents, requirements).drop("detail")
 
 
 @query
@@ -511,24 +527,23 @@ def page_contiguity(spark, sf_dir):
 
 @query
 def file_reconciliation(spark, sf_dir):
-    """All file checks over the tall CSV files, one key per file."""
-    facts = quality.file_facts(spark, files.tall_csv(spark, sf_dir, 2))
-    key = F.concat(F.lit("f"), F.regexp_extract("path", "file=(\\d+)", 1))
-    log = facts.select(
-        F.lit("r").alias("run_id"), key.alias("dataset_key"), F.lit("hospital_price_file").alias("source"),
-        F.inline(F.array(
-            F.struct(F.lit("started").alias("status"), F.lit(None).cast("bigint").alias("file_bytes"),
-                     F.lit(None).cast("string").alias("sha256")),
-            F.struct(F.lit("succeeded").alias("status"), F.col("length").alias("file_bytes"), F.col("sha256").alias("sha256")),
-        )),
-        F.col("path").alias("landing_path"), F.to_timestamp(F.lit("2025-01-01")).alias("event_ts"),
-    )
-    specs = facts.select(
-        key.alias("dataset_key"), F.lit("The Old General Hospital").alias("hospital_name"),
-        F.lit("csv").alias("file_format"), F.lit(1000).alias("min_bytes"),
+    """All file checks over small price files, one key per file, against a log with faults."""
+    paths = files.small_files(spark, sf_dir)
+    facts = quality.file_facts(spark, paths)
+    log = files.small_file_log(spark, sf_dir, paths)
+    number = F.substring("dataset_key", 2, 20).cast("bigint")
+    specs = log.select("dataset_key").distinct().select(
+        "dataset_key", F.lit("The Riverside General Hospital").alias("hospital_name"), F.lit("csv").alias("file_format"),
+        F.when(number % 7 == 6, 1_000_000_000).otherwise(10).alias("min_bytes"),
     )
-    checked = quality.file_checks(log, "r", facts, specs)
-    return checked.groupBy("check_name", "status").agg(F.sum("n_bad").alias("n_bad"))
+    return quality.file_checks(log, "r", facts, specs).drop("detail")
+
+
+@query
+def file_digests(spark, sf_dir):
+    """Size and SHA-256 of written files, read block by block."""
+    facts = quality.file_facts(spark, files.small_files(spark, sf_dir))
+    return facts.select(F.regexp_extract("path", "file=(\\d+)", 1).cast("bigint").alias("file"), "length", "sha256")
 
 
 @query

@@ -202,6 +202,89 @@ def customer_pages(spark: SparkSession, sf_dir: str, run_id: str) -> list[str]:
     return _once(spark, sf_dir, f"pages-{run_id}", write)
 
 
+ROWS_PER_SMALL_FILE = 100
+
+
+def _small_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file and the whole text of a small price file per hundred customers; every seventh names another hospital."""
+    file = F.floor(F.col("c_custkey") / ROWS_PER_SMALL_FILE)
+    line = F.concat_ws(",", "c_name", "c_mktsegment", F.col("c_custkey").cast("string"))
+    named = F.when(F.col("file") % 7 == 6, F.lit("Lakeview Campus")).otherwise(F.lit("Riverside Campus"))
+    lead = F.concat(F.lit("hospital_name,version\n"), named, F.lit(",2.0.0\ndescription,code|1,standard_charge|gross\n"))
+    lines = star.table(spark, sf_dir, "customer").groupBy(file.alias("file")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", line.alias("line")))), lambda x: x["line"]), "\n").alias("lines")
+    )
+    return lines.select("file", F.concat(lead, "lines").alias("value"))
+
+
+def small_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Those files as written."""
+    def write(folder: str) -> None:
+        _small_file_texts(spark, sf_dir).repartition(8, "file").write.partitionBy("file").text(folder)
+
+    return _once(spark, sf_dir, "small", write)
+
+
+def small_file_log(spark: SparkSession, sf_dir: str, paths: Sequence[str]) -> DataFrame:
+    """A load log of the small files from the customers themselves, with faults by the file's number modulo 7.
+
+    1 a wrong size, 2 a wrong hash, 3 a file that is gone, 4 two terminal events, 5 a failure and no start; every
+    fourteenth file was skipped.
+    """
+    folder = paths[0].split("/file=")[0]
+    names = spark.createDataFrame([(int(p.split("/file=")[1].split("/")[0]), p) for p in paths], "_file bigint, path string")
+    written = F.concat("value", F.lit("\n"))
+    texts = _small_file_texts(spark, sf_dir).join(names, F.col("file") == F.col("_file"))
+    fault = F.col("file") % 7
+    event = lambda status, size, digest: F.struct(
+        status.alias("status"), size.cast("bigint").alias("file_bytes"), digest.cast("string").alias("sha256"))
+    size = F.octet_length(written) + F.when(fault == 1, 1).otherwise(0)
+    digest = F.when(fault == 2, F.sha2("value", 256)).otherwise(F.sha2(written, 256))
+    done = event(F.when(F.col("file") % 14 == 7, F.lit("skipped")).otherwise(F.lit("succeeded")), size, digest)
+    plain = lambda status: event(F.lit(status), F.lit(None), F.lit(None))
+    events = (
+        F.when(fault == 4, F.array(plain("started"), done, done)).when(fault == 5, F.array(plain("failed"), done))
+        .otherwise(F.array(plain("started"), done))
+    )
+    return texts.select(
+        F.lit("r").alias("run_id"), F.concat(F.lit("f"), F.col("file").cast("string")).alias("dataset_key"),
+        F.lit("hospital_price_file").alias("source"), F.inline(events),
+        F.when(fault == 3, F.lit(f"{folder}/gone.txt")).otherwise(F.col("path")).alias("landing_path"),
+        F.to_timestamp(F.lit("2025-01-01")).alias("event_ts"),
+    )
+
+
+def faulty_page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load log of two sets of customer pages, counted from the customers themselves, with faults by the page's number.
+
+    Set a: no start, failures on even pages, two rows too many on every third. Set b: numbers with gaps, every third page
+    unlogged, every fourth gone.
+    """
+    page = F.floor(F.col("c_custkey") / ROWS_PER_PAGE)
+    counted = star.table(spark, sf_dir, "customer").groupBy(page.alias("page")).agg(F.count("*").alias("n"))
+    frames = []
+    for key in ("a", "b"):
+        paths = customer_pages(spark, sf_dir, f"run-{key}")
+        found = spark.createDataFrame([(int(p.split("/page=")[1].split("/")[0]), p) for p in paths], "_page bigint, path string")
+        pages = counted.join(found, F.col("page") == F.col("_page"))
+        if key == "a":
+            number, path = F.col("page"), F.col("path")
+            n = F.col("n") + F.when(F.col("page") % 3 == 1, 2).otherwise(0)
+            failed = pages.where(F.col("page") % 2 == 0).select(F.lit("failed").alias("status"), F.lit(None).alias("number"), F.lit(None).alias("n"), "path")
+        else:
+            pages = pages.where(F.col("page") % 3 != 2)
+            number, n = F.col("page") * 2, F.col("n")
+            path = F.when(F.col("page") % 4 == 1, F.concat("path", F.lit(".gone"))).otherwise(F.col("path"))
+            failed = spark.createDataFrame([("started",)], "status string").select("status", F.lit(None).alias("number"), F.lit(None).alias("n"), F.lit(None).alias("path"))
+        landed = pages.select(F.lit("succeeded").alias("status"), number.alias("number"), n.alias("n"), path.alias("path"))
+        frames.append(landed.unionByName(failed).withColumn("dataset_key", F.lit(key)))
+    log = frames[0].unionByName(frames[1])
+    return log.select(
+        F.lit("r").alias("run_id"), "dataset_key", F.lit("catalog").alias("source"), F.col("number").cast("int").alias("page_number"),
+        F.col("n").cast("int").alias("row_count"), "status", F.col("path").alias("landing_path"), F.to_timestamp(F.lit("2025-01-01")).alias("event_ts"),
+    )
+
+
 def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load log with two runs over the customer pages: an older one, then the newest."""
     from ratescope.plans.quality import page_contents

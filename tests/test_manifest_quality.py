@@ -162,7 +162,7 @@ def test_bad_row_checks(spark):
     assert quality.unaccepted_values(df, "k", ["b"]).collect()[0]["n_rows"] == 2
     parent = spark.createDataFrame([("b",), (None,)], "k string")
     assert [tuple(r) for r in quality.orphans(df, "k", parent, "k").collect()] == [("a", 2)]
-    result = quality.as_result(quality.null_rows(df, "v"), "t", "not_null v")
+    result = quality.table_checks(df, "t", quality.not_null("v"))
     assert tuple(result.first()) == ("t", "not_null v", "fail", 3, "3 bad row(s)")
     try:
         quality.raise_on_failure(result)
@@ -170,3 +170,25 @@ def test_bad_row_checks(spark):
         assert str(error) == "t: not_null v (3 bad row(s))"
     else:
         raise AssertionError("no error")
+
+
+def test_checks_of_a_table_share_its_scans(spark, tmp_path):
+    rows = [("a", 1, -1.0), ("a", None, 2.0), (None, 1, None), (None, None, 0.0), (None, None, -5.0), ("b", 7, 1.0)]
+    spark.createDataFrame(rows, "k string, v int, negotiated_dollar double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    parent = spark.createDataFrame([("b",), ("b",), (None,)], "p string")
+    checks = [
+        quality.not_null("k", "v"), quality.unique("k", "v"), quality.accepted("k", ["b"]), quality.accepted("v", [1, 7]),
+        quality.unique_together(["k", "v"], quality.WARN), quality.unique_together(["v", "k"]), quality.no_negative("negotiated_dollar", "sign"),
+    ]
+    expected = {
+        ("not_null k", "fail", 3), ("not_null v", "fail", 3), ("unique k", "fail", 1), ("unique v", "fail", 1), ("accepted_values k", "fail", 1),
+        ("accepted_values v", "pass", 0), ("unique_combination", "warn", 1), ("unique_combination", "fail", 1), ("sign", "fail", 2),
+    }
+    found = quality.table_checks(df, "t", *checks)
+    assert {(r["check_name"], r["status"], r["n_bad"]) for r in found.collect()} == expected and found.count() == 9
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 2
+    with_parent = quality.table_checks(df, "t", quality.related("k", parent, "p"), quality.unique("v")).collect()
+    assert {(r["check_name"], r["status"], r["n_bad"]) for r in with_parent} == {("relationships k", "fail", 1), ("unique v", "fail", 1)}
+    empty = quality.table_checks(df.where("false"), "t", *checks).collect()
+    assert len(empty) == 9 and all(r["status"] == "pass" for r in empty)
