@@ -326,6 +326,11 @@ UNION ALL SELECT 'all items', (SELECT count(*) FROM items) + n FROM documents"""
 WHERE (SELECT count(*) FROM lineitem) > 0""",
     "paged_json_latest_run": """SELECT c_custkey, c_name AS facility_name, round(c_acctbal, 6) AS c_acctbal,
   c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS zip_code FROM customer""",
+    "paged_json_by_run_date": """SELECT c_custkey, c_name, CASE WHEN c_nationkey > 12 THEN round(c_acctbal, 6) END AS balance,
+  '2025-01-0' || CAST(c_custkey % 5 + 1 AS VARCHAR) AS run_date FROM customer WHERE c_custkey % 5 + 1 >= 3""",
+    "paged_json_fields": """SELECT '2025-01-0' || CAST(c_custkey % 5 + 1 AS VARCHAR) AS run_date, count(*) AS n_rows,
+  count(*) FILTER (c_nationkey > 12) AS n_balances, count(DISTINCT c_custkey // 500) AS n_pages FROM customer GROUP BY c_custkey % 5""",
+    "seed_file": """SELECT p_partkey, p_name || ', "' || p_brand || '"' AS name, p_size, round(p_retailprice, 6) AS p_retailprice FROM part""",
     "code_slot_unpivot": """
 WITH slots AS (
   SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderpriority AS code, 'PRIORITY' AS code_type FROM orders

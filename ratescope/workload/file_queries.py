@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratescope import functions as fn
 from ratescope.config import PageSetSpec
@@ -15,7 +16,7 @@ from ratescope.plans.build import Schemas
 from ratescope.schemas import CROSSWALK, PRICE_ITEM
 from ratescope.sinks import tables
 from ratescope.sinks.scratch import scratch_path
-from ratescope.sources.pages import read_pages
+from ratescope.sources.pages import read_pages, read_seed
 from ratescope.sources.price_csv import N_LEADS, open_price_csv, price_csv_header, price_csv_headers, read_price_csv
 from ratescope.sources.price_json import open_price_json, price_json_headers, price_json_items
 from ratescope.workload import files, star
@@ -190,6 +191,35 @@ def paged_json_latest_run(spark, sf_dir):
     ))
 
 
+@query
+def paged_json_by_run_date(spark, sf_dir):
+    """Pages of several dated runs by a glob; the date is a column, and a filter on it leaves whole folders unread."""
+    base = files.dated_pages(spark, sf_dir)
+    schema = "c_custkey string, c_name string, balance string, run_date string"
+    rows = read_pages(spark, f"{base}/run_date=*", T.StructType.fromDDL(schema), base=base)
+    return rounded(rows.where(F.col("run_date") >= F.lit("2025-01-03")).select(
+        F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name", fn.number_or_null(F.col("balance")).alias("balance"),
+        F.col("run_date").cast("string").alias("run_date"),
+    ))
+
+
+@query
+def paged_json_fields(spark, sf_dir):
+    """All dated pages without a schema: each page is parsed once, fields that only some rows have become columns."""
+    base = files.dated_pages(spark, sf_dir)
+    rows = read_pages(spark, f"{base}/run_date=*", base=base)
+    return rows.groupBy("run_date").agg(
+        F.count("c_custkey").alias("n_rows"), F.count("balance").alias("n_balances"), F.countDistinct("page").alias("n_pages")
+    ).withColumn("run_date", F.col("run_date").cast("string"))
+
+
+@query
+def seed_file(spark, sf_dir):
+    """A seed file with typed columns, quotes and commas."""
+    schema = T.StructType.fromDDL("p_partkey bigint, name string, p_size int, p_retailprice double")
+    return rounded(read_seed(spark, files.seed_csv(spark, sf_dir), schema))
+
+
 # --------------------------------------------------------------------------------------- reshapes
 @query
 def code_slot_unpivot(spark, sf_dir):

@@ -24,12 +24,12 @@ _CSV = {"escape": '"', "quote": '"'}
 _paths: dict[tuple[str, str, str], list[str]] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, label: str, write) -> list[str]:
+def _once(spark: SparkSession, sf_dir: str, label: str, write, depth: int = 1, suffix: str = "txt") -> list[str]:
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _paths:
         folder = scratch_path(spark, label)
         write(folder)
-        _paths[key] = sorted(r["path"] for r in list_files(spark, [f"{folder}/*/*.txt"]).collect())
+        _paths[key] = sorted(r["path"] for r in list_files(spark, [f"{folder}{'/*' * depth}/*.{suffix}"]).collect())
     return _paths[key]
 
 
@@ -285,6 +285,31 @@ def faulty_page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Customers as JSON-array pages of five runs, one folder per date; returns the folder above them."""
+    def write(folder: str) -> None:
+        page = F.floor(F.col("c_custkey") / ROWS_PER_PAGE)
+        date = F.concat(F.lit("2025-01-0"), (F.col("c_custkey") % 5 + 1).cast("string"))
+        # A field that only some customers have.
+        item = F.struct("c_custkey", "c_name", F.when(F.col("c_nationkey") > 12, F.col("c_acctbal")).alias("balance"))
+        pages = star.table(spark, sf_dir, "customer").groupBy(date.alias("run_date"), page.alias("page")).agg(
+            F.to_json(F.sort_array(F.collect_list(item))).alias("value")
+        )
+        pages.repartition(8, "run_date", "page").write.partitionBy("run_date", "page").text(folder)
+
+    return _once(spark, sf_dir, "dated", write, depth=2)[0].split("/run_date=")[0]
+
+
+def seed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Parts as a seed file with a header line; names hold commas and quotes."""
+    def write(folder: str) -> None:
+        name = F.concat(F.col("p_name"), F.lit(', "'), F.col("p_brand"), F.lit('"'))
+        seeds = star.table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), "p_size", "p_retailprice")
+        seeds.write.option("header", True).option("escape", '"').csv(f"{folder}/seed")
+
+    return _once(spark, sf_dir, "seed", write, suffix="csv")[0].rsplit("/", 1)[0]
+
+
 def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load log with two runs over the customer pages: an older one, then the newest."""
     from ratescope.plans.quality import page_contents
