@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratescope.llm.common import utf8
+from ratescope.llm.common import few_rows, utf8, write_stage
 
 _KEYS = "doc_id bigint, key binary"
 _NOTE = "_ld_key"
@@ -57,18 +57,20 @@ def _distinct_keys(min_chars: int):
 def crowded_keys(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """One row (doc_id, dropped: array of line fingerprints) per document that loses lines.
 
-    Keys are counted with map-side combining, so a line that every document holds is a few rows per task. The join
-    back of the crowded keys is a plain sort-merge join, which adaptive execution splits where one key is hot.
+    Keys are counted with map-side combining, so a line that every document holds is a few rows per task. The crowded
+    ones are written before the join: they are broadcast if few, and otherwise the join is on a table instead of an
+    aggregate of the same stage, so that adaptive execution can split a hot key.
     """
     held = docs.select("doc_id", "text").mapInPandas(_distinct_keys(min_chars), _KEYS)
-    crowded = (
+    crowded = write_stage(
         held.groupBy("key")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("key", "keeper")
+        .select("key", "keeper"),
+        "crowded-lines",
     )
     return (
-        held.join(crowded, "key")
+        held.join(few_rows(crowded), "key")
         .where(F.col("doc_id") != F.col("keeper"))
         .groupBy("doc_id")
         .agg(F.collect_set("key").alias("dropped"))
