@@ -1,9 +1,11 @@
 """Quality rules as weak supervision.
 
 Rules vote "good", vote "bad" or abstain. Expectation-maximisation over the vote patterns of all documents within
-the base limits estimates how often each rule is right in either class; a document stays if its posterior probability of being good is high
-enough, so one failed rule need not reject it. Only the two base limits (too few words, mostly repeated passages)
-reject on their own.
+the base limits estimates how often each rule is right in either class; a document stays if its posterior probability of
+being good is high enough. The range in which a rule's errors on good documents are looked for is narrow (``ON_GOOD``): each
+kind of bad document offends few rules, most often one, and with wide ranges the estimates take such offences for noise. So
+a bad vote is outweighed only where the fit finds the rule weak on bad documents, and mostly it rejects. The two base limits
+(too few words, mostly repeated passages) always do.
 
 All of it is DataFrame functions. The vote patterns are counted by Spark; there are at most 3 to the power of the
 number of rules, whatever the corpus holds, and each round of expectation-maximisation is one aggregate over them.
