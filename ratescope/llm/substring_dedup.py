@@ -13,9 +13,9 @@ document. Finding them takes three narrow passes:
 * Windows under anchors that several documents hold are compared by hash; each repeated one names its first document.
 * The first documents' shards around such windows are sent to the documents that repeat them.
 
-Counts are combined before shuffles. What is shared is written before it is joined: it is broadcast if there is little of
-it, and otherwise the join is on a table instead of an aggregate of the same stage, so that adaptive execution can split a
-passage that a third of all documents hold. Documents with the same words throughout are settled by digest beforehand.
+Counts are combined before shuffles. What is shared is written before it is joined, so that the join is on a table instead
+of an aggregate of the same stage, and adaptive execution can split a passage that a third of all documents hold.
+Documents with the same words throughout are settled by digest beforehand.
 
 Null texts have no words. Rows with a null doc_id have no place in the order: they lose nothing and serve nobody. Rows
 that repeat a doc_id count as one document, so they lose nothing to each other. A table without rows gives no rows.
@@ -171,7 +171,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard:
     first = known.groupBy(F.col("words_key").alias("_key")).agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
     several = write_stage(first.where(F.col("_first") < F.col("_last")).select("_key", "_first"), "substring-several")
     copies = write_stage(
-        known.join(few_rows(several, _FEW_DIGESTS), (F.col("words_key") == F.col("_key")) & (F.col("doc_id") > F.col("_first")), "left_semi").select("doc_id", "words_key"),
+        known.join(several, (F.col("words_key") == F.col("_key")) & (F.col("doc_id") > F.col("_first")), "left_semi").select("doc_id", "words_key"),
         "substring-copies",
     )
     is_copy = few_rows(copies.select(F.col("doc_id").alias("_id"), F.col("words_key").alias("_key"), F.lit(True).alias("copy")).distinct(), _FEW_DIGESTS)
@@ -184,7 +184,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard:
         .where(F.col("a") < F.col("b")).select("_anchor"),
         "substring-anchors",
     )
-    per_doc = held.join(few_rows(shared), F.col("anchor") == F.col("_anchor"), "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
+    per_doc = held.join(shared, F.col("anchor") == F.col("_anchor"), "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     per_doc = write_stage(per_doc, "substring-shared")
     candidates = _texts_of(docs, per_doc).join(_by_id(per_doc), F.col("doc_id") == F.col("_by"))
     windows = write_stage(candidates.select("doc_id", "text", "shared").mapInPandas(_windows(window, anchor), _WINDOWS), "substring-windows")
@@ -197,7 +197,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard:
         "substring-origins",
     )
     uses = write_stage(
-        windows.join(few_rows(origin), F.col("window") == F.col("_window")).where(F.col("doc_id") > F.col("first")).select("doc_id", "first", "shard").distinct(),
+        windows.join(origin, F.col("window") == F.col("_window")).where(F.col("doc_id") > F.col("first")).select("doc_id", "first", "shard").distinct(),
         "substring-uses",
     )
     sources = write_stage(uses.groupBy(F.col("first").alias("doc_id")).agg(F.collect_set("shard").alias("shards")), "substring-sources")
