@@ -6,7 +6,14 @@ chose are its winning paths. The text is then taken from the containers on a win
 shorter than its surroundings still gets the right part. A page without any container on a winning path keeps its own
 choice.
 
-Null or empty html gives an empty text; a null address belongs to the host without a name. Rows are handled one by one,
+Names say less than places. A class such as ``has-sidebar`` or ``comments-open`` states what a page looks like, so it marks
+no part as noise. A container that is left out for its name alone, or a form, is a wrapper after all if it holds most of
+the page's text and, unless it is a form, an article, a main part or a headline with text below; its inner parts are then
+judged one by one. What one page of a host shows to be a wrapper is one on every page of the host where it stands on the
+same path.
+
+Ties: of equally large containers the first on the page gets the vote, of paths with equally many votes that with more text,
+then the later one by code point. Very long pages are read whole, in one pass. Null or empty html gives an empty text; a null address belongs to the host without a name. Rows are handled one by one,
 so repeated rows vote twice and get equal texts. A table without rows gives no rows. Further columns are carried along.
 """
 
@@ -35,8 +42,8 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'
 
 #: Elements whose content is no text of the page.
 RAW = frozenset("script style title textarea noscript template iframe svg math object xmp noembed noframes".split())
-LEFT_OUT = RAW | frozenset("head nav footer aside form button select option dialog menu canvas audio video map datalist".split())
-CONTAINERS = frozenset("html body article main section div table tbody thead tfoot tr td th ul ol dl center header figure details blockquote".split())
+LEFT_OUT = RAW | frozenset("head nav footer aside button select option dialog menu canvas audio video map datalist".split())
+CONTAINERS = frozenset("html body article main section div form table tbody thead tfoot tr td th ul ol dl center header figure details blockquote".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre address figcaption caption summary hr legend fieldset hgroup".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A new element of the first kind ends an open one of the second kind that has no end tag.
@@ -49,21 +56,44 @@ NOISE_WORDS = frozenset(
 )
 NOISE_NAMES = frozenset("header site-header page-header top-header global-header topbar top-bar side-bar side right-column left-column rail".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
+#: First and last words of names that tell what a page has, not what a container is.
+STATE_FIRST = frozenset("has have no not with without".split())
+STATE_LAST = frozenset("open opened closed enabled disabled".split())
+#: Names of page parts written by readers; their headlines and articles are none of the page.
+READERS = frozenset("comment comments reply replies disqus respond".split())
+#: Text below a headline, in characters, that shows a container left out by name to be a wrapper.
+LEAST_BELOW_HEADLINE = 200
 GOOD_WORDS = frozenset("article content post entry story main body text maincontent articlebody".split())
 _SPLIT = re.compile(r"[^a-z]+")
 
+KEEP, BY_NAME, LEAVE = 0, 1, 2
+
+
+def _name_words(names: list[str]) -> set[str]:
+    """The words of names that are not about the state of the page."""
+    words: set[str] = set()
+    for name in names:
+        parts = [w for w in _SPLIT.split(name) if w]
+        if len(parts) > 1 and "print" not in parts and (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST):
+            continue
+        words.update(parts)
+    return words
+
 
 class Page:
     """Containers and text blocks of one page, in page order."""
 
     def __init__(self, html: str):
-        self.parent, self.path, self.out, self.hint = [-1], [""], [False], [1.0]
+        self.parent, self.path, self.noise, self.hint = [-1], [""], [KEEP], [1.0]
+        self.form, self.readers, self.shown = [False], [False], [0]
         self.blocks: list[tuple[int, str, int]] = []
         self._open: list[tuple[str, int]] = [("", 0)]
         self._text: list[str] = []
         self._links: list[str] = []
         self._in_link = False
+        self._unclosed: set[str] = set()
         self._read(html)
+        self.out = self._left_out(self._wrappers())
 
     def _read(self, html: str) -> None:
         at, end = 0, len(html)
@@ -83,9 +113,15 @@ class Page:
                 self._close(name)
                 continue
             if name in RAW:
+                if found.group(3).endswith("/") or name in self._unclosed:
+                    continue
                 stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-                if not found.group(3).endswith("/"):
-                    at = stop.end() if stop else (end if name in ("script", "style") else at)
+                if stop:
+                    at = stop.end()
+                elif name in ("script", "style"):
+                    at = end
+                else:
+                    self._unclosed.add(name)
                 continue
             self._start(name, found.group(3))
         self._flush()
@@ -116,7 +152,7 @@ class Page:
         if name not in BLOCKS and name not in LEFT_OUT:
             if "hidden" not in rest and "class" not in rest and "role" not in rest:
                 return
-            if not self._noisy(name, rest)[0]:
+            if self._judge(name, rest)[0] == KEEP:
                 return
         self._flush()
         if name == "hr":
@@ -127,13 +163,18 @@ class Page:
             if self._open[-1][0] == other:
                 self._open.pop()
         node = self._open[-1][1]
-        noisy, key, hint = self._noisy(name, rest)
-        if name in CONTAINERS or noisy:
+        noise, key, hint, readers, main = self._judge(name, rest)
+        if name in CONTAINERS or noise or main:
             self.parent.append(node)
             self.path.append(f"{self.path[node]}/{key}" if node else key)
-            self.out.append(self.out[node] or noisy)
+            self.noise.append(noise)
             self.hint.append(hint)
+            self.form.append(name == "form")
+            self.readers.append(readers)
+            self.shown.append(2 if main else 0)
             node = len(self.parent) - 1
+        if name == "h1":
+            self.shown[node] = max(1, self.shown[node])
         self._open.append((name, node))
 
     def _close(self, name: str) -> None:
@@ -148,11 +189,13 @@ class Page:
         elif name in BLOCKS:
             self._flush()
 
-    def _noisy(self, name: str, rest: str) -> tuple[bool, str, float]:
-        """Whether the element is left out, its generalised name, and how much its name speaks for an article."""
+    def _judge(self, name: str, rest: str) -> tuple[int, str, float, bool, bool]:
+        """Why the element is left out, its generalised name, how much that speaks for an article, whether it holds what
+        readers wrote, whether it is marked as the page's article or main part."""
         classes: list[str] = []
         names: list[str] = []
-        noisy = name in LEFT_OUT or (name == "header" and not any(n in ("article", "main") for n, _ in self._open))
+        marked = name in ("article", "main")
+        leave = name in LEFT_OUT or (name == "header" and not any(n in ("article", "main") for n, _ in self._open))
         if rest.strip(" /"):
             for m in _ATTRIBUTE.finditer(rest):
                 attribute = m.group(1).lower()
@@ -163,17 +206,56 @@ class Page:
                 elif attribute == "id":
                     names.append(value)
                 elif attribute == "role":
-                    noisy |= value in NOISE_ROLES
+                    leave |= value in NOISE_ROLES and not (name == "form" and value == "form")
+                    marked |= value == "main"
                 elif attribute == "hidden" or (attribute == "aria-hidden" and value == "true"):
-                    noisy = True
+                    leave = True
                 elif attribute == "style":
-                    noisy |= "display:none" in value.replace(" ", "")
-        words = {w for n in names for w in _SPLIT.split(n)}
-        if name not in ("html", "body", "article", "main"):
-            noisy = noisy or bool(words & NOISE_WORDS) or any(n in NOISE_NAMES for n in names)
-        good = name in ("article", "main") or bool(words & GOOD_WORDS)
-        general = sorted({re.sub(r"\d+", "#", c) for c in classes})
-        return noisy, ".".join([name, *general]), 1.5 if good else 1.0
+                    leave |= "display:none" in value.replace(" ", "")
+        words = _name_words(names)
+        by_name = bool(words & NOISE_WORDS) or any(n in NOISE_NAMES for n in names)
+        good = marked or bool({w for n in names for w in _SPLIT.split(n)} & GOOD_WORDS)
+        key = ".".join([name, *sorted({re.sub(r"\d+", "#", c) for c in classes})])
+        exempt = marked or name in ("html", "body")
+        if leave:
+            noise = LEAVE
+        elif name == "form" or (by_name and not exempt):
+            noise = BY_NAME
+            key += "!" + "!".join(sorted({re.sub(r"\d+", "#", n) for n in names} - set(classes)))
+        else:
+            noise = KEEP
+        return noise, key, 1.5 if good else 1.0, bool(words & READERS), marked and not by_name and not leave
+
+    def _left_out(self, wrappers: set[int]) -> list[bool]:
+        out = [False] * len(self.parent)
+        for node in range(1, len(out)):
+            noise = self.noise[node]
+            out[node] = out[self.parent[node]] or noise == LEAVE or (noise == BY_NAME and node not in wrappers)
+        return out
+
+    def _wrappers(self) -> set[int]:
+        """Forms and containers left out by name that hold most of the page's text and its article, main part or headline."""
+        if BY_NAME not in self.noise:
+            return set()
+        count = len(self.parent)
+        leave = [False] * count
+        for node in range(1, count):
+            leave[node] = leave[self.parent[node]] or self.noise[node] == LEAVE or self.readers[node]
+        size = [0] * count
+        for node, words, linked in self.blocks:
+            if not leave[node]:
+                size[node] += max(0, len(words) - 2 * linked)
+        shown = [0 if leave[n] else self.shown[n] for n in range(count)]
+        # From the last container up: what it passes to its parent. A part left out by name that shows no article passes nothing.
+        for node in range(count - 1, 0, -1):
+            above = self.parent[node]
+            may_wrap = shown[node] == 2 or (shown[node] == 1 and size[node] >= LEAST_BELOW_HEADLINE) or self.form[node]
+            if leave[node] or (self.noise[node] == BY_NAME and not may_wrap):
+                size[node] = 0
+                continue
+            size[above] += size[node]
+            shown[above] = max(shown[above], shown[node])
+        return {n for n in range(1, count) if self.noise[n] == BY_NAME and 2 * size[n] > size[0]}
 
     def sizes(self) -> list[float]:
         """Text outside links below each container; what is left out counts nowhere."""
@@ -199,16 +281,35 @@ class Page:
                 return at
             at = best
 
-    def text_of(self, nodes: set[int]) -> str:
+    def text_of(self, nodes: set[int], out: list[bool] | None = None) -> str:
+        out = self.out if out is None else out
         inside = [False] * len(self.parent)
         for node in range(len(self.parent)):
             inside[node] = node in nodes or (node > 0 and inside[self.parent[node]])
-        return "\n".join(words for node, words, _ in self.blocks if inside[node] and not self.out[node])
+        return "\n".join(words for node, words, _ in self.blocks if inside[node] and not out[node])
+
+    def _above(self, nodes: list[int]) -> set[int]:
+        found: set[int] = set()
+        for node in nodes:
+            while node > 0 and node not in found:
+                found.add(node)
+                node = self.parent[node]
+        return found
 
     def text(self, winners: list[str]) -> str:
+        at: dict[str, list[int]] = {path: [] for path in winners}
+        for node in range(1, len(self.path)):
+            if self.path[node] in at:
+                at[self.path[node]].append(node)
+        wrappers: set[int] | None = None
         for path in winners:
-            nodes = {n for n in range(1, len(self.path)) if self.path[n] == path and not self.out[n]}
-            if nodes and (text := self.text_of(nodes)):
+            out = self.out
+            if "!" in path and at[path]:
+                # The host's pages chose below a wrapper: it is one here, too.
+                wrappers = self._wrappers() if wrappers is None else wrappers
+                out = self._left_out(wrappers | self._above(at[path]))
+            nodes = {n for n in at[path] if not out[n]}
+            if nodes and (text := self.text_of(nodes, out)):
                 return text
         return self.text_of({self.choice()})
 
