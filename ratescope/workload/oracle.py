@@ -79,44 +79,38 @@ crosswalk AS (
   FROM nation
 )"""
 
+#: What the rules look at. It is never NULL, so it serves as the key of a name in joins.
+_RULE_TEXT = "trim(regexp_replace(lower(concat_ws(' ', payer_name, plan_name)), '[^a-z0-9]+', ' ', 'g'))"
+
 PAYERS_CTE = f"""{RULES_CTE},
-payer_names AS (SELECT DISTINCT payer_name, plan_name FROM staged),
-payer_text AS (
-  SELECT *, trim(regexp_replace(lower(concat_ws(' ', payer_name, plan_name)), '[^a-z0-9]+', ' ', 'g')) AS match_text
-  FROM payer_names
-),
-rule_hits AS (
-  SELECT t.payer_name, t.plan_name, r.category, r.pattern,
-    row_number() OVER (PARTITION BY t.payer_name, t.plan_name ORDER BY r.priority, r.pattern) AS rn
-  FROM payer_text t JOIN rules r ON regexp_matches(t.match_text, r.pattern)
+best_rules AS (
+  SELECT rule_text, min({{'priority': priority, 'pattern': pattern, 'category': category}}) AS best
+  FROM (SELECT DISTINCT {_RULE_TEXT} AS rule_text FROM staged) JOIN rules ON regexp_matches(rule_text, pattern)
+  GROUP BY rule_text
 ),
 payer_categories AS (
-  SELECT n.payer_name, n.plan_name, coalesce(h.category, 'commercial') AS payer_category,
-    h.category IS NULL AS payer_category_is_default, h.pattern AS matched_pattern
-  FROM payer_names n
-  LEFT JOIN rule_hits h ON n.payer_name IS NOT DISTINCT FROM h.payer_name
-    AND n.plan_name IS NOT DISTINCT FROM h.plan_name AND h.rn = 1
+  SELECT DISTINCT payer_name, plan_name, coalesce(best.category, 'commercial') AS payer_category,
+    best IS NULL AS payer_category_is_default, best.pattern AS matched_pattern
+  FROM (SELECT payer_name, plan_name, {_RULE_TEXT} AS rule_text FROM staged) LEFT JOIN best_rules USING (rule_text)
 )"""
 
-RATES_FROM_STAGED_CTE = """
+RATES_FROM_STAGED_CTE = f"""
+sources AS (
+  SELECT crosswalk.*, last_updated_on AS file_last_updated_on FROM crosswalk LEFT JOIN headers USING (source_key)
+),
 rates AS (
-  SELECT s.source_key, x.hospital_ccn, x.hospital_name, s.code_type,
-    CASE WHEN s.code_type IN ('CPT', 'HCPCS') THEN 'CPT/HCPCS' ELSE s.code_type END AS code_family,
-    s.code, s.procedure_label, s.procedure_label IS NOT NULL AS is_featured, s.item_description, s.item_codes,
-    s.modifiers, s.setting, coalesce(lower(s.billing_class_in_file), x.assumed_billing_class) AS billing_class,
-    s.billing_class_in_file IS NULL AND x.assumed_billing_class IS NOT NULL AS billing_class_assumed,
-    s.payer_name, s.plan_name, pc.payer_category, pc.payer_category_is_default,
-    CASE WHEN s.negotiated_dollar IS NOT NULL THEN 'dollar' WHEN s.negotiated_percentage IS NOT NULL THEN 'percentage'
-      WHEN s.negotiated_algorithm IS NOT NULL THEN 'algorithm' ELSE 'none' END AS rate_type,
-    s.negotiated_dollar, s.negotiated_percentage, s.negotiated_algorithm, s.methodology, s.gross_charge,
-    s.min_charge, s.max_charge,
-    s.negotiated_dollar IS NOT NULL AND s.negotiated_dollar < 5000 AS is_placeholder_rate,
-    h.last_updated_on AS file_last_updated_on
-  FROM staged s
-  JOIN crosswalk x ON s.source_key = x.source_key
-  LEFT JOIN headers h ON s.source_key = h.source_key
-  LEFT JOIN payer_categories pc ON s.payer_name IS NOT DISTINCT FROM pc.payer_name
-    AND s.plan_name IS NOT DISTINCT FROM pc.plan_name
+  SELECT * EXCLUDE (rule_text, best, assumed_billing_class, billing_class_in_file),
+    if(code_type IN ('CPT', 'HCPCS'), 'CPT/HCPCS', code_type) AS code_family,
+    procedure_label IS NOT NULL AS is_featured,
+    lower(coalesce(billing_class_in_file, assumed_billing_class)) AS billing_class,
+    billing_class_in_file IS NULL AND assumed_billing_class IS NOT NULL AS billing_class_assumed,
+    coalesce(best.category, 'commercial') AS payer_category, best IS NULL AS payer_category_is_default,
+    coalesce(if(negotiated_dollar IS NULL, NULL, 'dollar'), if(negotiated_percentage IS NULL, NULL, 'percentage'),
+      if(negotiated_algorithm IS NULL, 'none', 'algorithm')) AS rate_type,
+    coalesce(negotiated_dollar < 5000, FALSE) AS is_placeholder_rate
+  FROM (SELECT *, {_RULE_TEXT} AS rule_text FROM staged)
+  LEFT JOIN best_rules USING (rule_text)
+  JOIN sources USING (source_key)
 )"""
 
 RATES_CTE = f"""{STAGED_CTE},
@@ -134,36 +128,30 @@ usable AS (
   FROM rates WHERE code_type IN ('CPT', 'HCPCS', 'MS-DRG')
 )"""
 
-_LINE_COUNTS = """
-    max(procedure_label) AS procedure_label, max(item_description) AS item_description,
-    max(file_last_updated_on) AS file_last_updated_on, bool_or(billing_class_assumed) AS billing_class_assumed,
-    CAST(count(*) FILTER (WHERE rate_type = 'percentage') AS BIGINT) AS n_percentage,
-    CAST(count(*) FILTER (WHERE rate_type = 'algorithm') AS BIGINT) AS n_algorithm,
-    CAST(count(*) FILTER (WHERE is_placeholder_rate) AS BIGINT) AS n_placeholder"""
-
 
 def _stats(keys: str, name: str) -> str:
-    on = " AND ".join(f"l.{k.strip()} IS NOT DISTINCT FROM s.{k.strip()}" for k in keys.split(","))
+    """Statistics as windows over the lines: of a payer/plan, then of a service over the first line of each payer/plan."""
     return f"""
-{name}_plans AS (
-  SELECT {keys}, payer_name, plan_name, count(rate) AS n_lines,
-    coalesce(quantile_cont(CASE WHEN modifiers IS NULL THEN rate END, 0.5), quantile_cont(rate, 0.5)) AS plan_rate
-  FROM usable GROUP BY {keys}, payer_name, plan_name
-),
-{name}_spread AS (
-  SELECT {keys}, count(plan_rate) AS n_rates, CAST(sum(n_lines) AS BIGINT) AS n_lines,
-    count(DISTINCT CASE WHEN plan_rate IS NOT NULL THEN payer_name END) AS n_payers,
-    min(plan_rate) AS min_rate, quantile_cont(plan_rate, 0.25) AS p25_rate, quantile_cont(plan_rate, 0.5) AS median_rate,
-    quantile_cont(plan_rate, 0.75) AS p75_rate, max(plan_rate) AS max_rate
-  FROM {name}_plans GROUP BY {keys}
-),
 {name}_lines AS (
-  SELECT hospital_name, {keys}, {_LINE_COUNTS}
-  FROM usable GROUP BY hospital_name, {keys}
+  SELECT *, row_number() OVER of_plan = 1 AS leads,
+    coalesce(quantile_cont(rate, 0.5) FILTER (WHERE modifiers IS NULL) OVER of_plan, quantile_cont(rate, 0.5) OVER of_plan)
+      AS plan_rate
+  FROM usable WINDOW of_plan AS (PARTITION BY {keys}, payer_name, plan_name)
+),
+{name}_measured AS (
+  SELECT *, count(plan_rate) FILTER (WHERE leads) OVER of_service AS n_rates, count(rate) OVER of_service AS n_lines,
+    count(DISTINCT payer_name) FILTER (WHERE plan_rate IS NOT NULL) OVER of_service AS n_payers,
+    min(plan_rate) OVER of_service AS min_rate, max(plan_rate) OVER of_service AS max_rate,
+    quantile_cont(plan_rate, [0.25, 0.5, 0.75]) FILTER (WHERE leads) OVER of_service AS points
+  FROM {name}_lines WINDOW of_service AS (PARTITION BY {keys})
 ),
 {name}_stats AS (
-  SELECT l.*, s.n_rates, s.n_lines, s.n_payers, s.min_rate, s.p25_rate, s.median_rate, s.p75_rate, s.max_rate
-  FROM {name}_lines l LEFT JOIN {name}_spread s ON {on}
+  SELECT hospital_name, {keys}, max(procedure_label) AS procedure_label, max(item_description) AS item_description,
+    max(file_last_updated_on) AS file_last_updated_on, bool_or(billing_class_assumed) AS billing_class_assumed,
+    countif(rate_type = 'percentage')::BIGINT AS n_percentage, countif(rate_type = 'algorithm')::BIGINT AS n_algorithm,
+    countif(is_placeholder_rate)::BIGINT AS n_placeholder,
+    n_rates, n_lines, n_payers, min_rate, points[1] AS p25_rate, points[2] AS median_rate, points[3] AS p75_rate, max_rate
+  FROM {name}_measured GROUP BY ALL
 )"""
 
 
