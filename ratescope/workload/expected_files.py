@@ -96,6 +96,12 @@ _WIDE = _csv_rates(
 )
 _JSON_WITH = f"WITH {LINES_CTE}, {PROCEDURES_CTE}, {_JSON_CHARGES} "
 
+# The nation in whose name a price file is stated, and the day of October it states.
+_STATING = """stating AS (
+  SELECT n_name, n_nationkey % 9 + 1 AS stated_day
+  FROM nation JOIN (SELECT unnest(range(count(*) // 20000 + 2)) AS file FROM lineitem) ON file % 25 = n_nationkey
+)"""
+
 # The three layouts as one rates table: one hospital per layout.
 _FROM_FILES = f"""WITH {LINES_CTE}, {PROCEDURES_CTE}, {_SLOT_ROWS}, {_labelled('l_quantity >= 2', False)}, {_JSON_CHARGES},
 tall AS ({_TALL}),
@@ -105,7 +111,10 @@ staged AS (
   SELECT DISTINCT * REPLACE (lower(setting) AS setting) RENAME (billing_class AS billing_class_in_file)
   FROM (SELECT * FROM tall UNION ALL BY NAME SELECT * FROM wide UNION ALL BY NAME SELECT * FROM nested)
 ),
-headers AS (SELECT unnest(['tall', 'wide', 'json']) AS source_key, DATE '2025-10-01' AS last_updated_on),
+{_STATING},
+headers AS (
+  SELECT unnest(['tall', 'wide', 'json']) AS source_key, make_date(2025, 10, max(stated_day)) AS last_updated_on FROM stating
+),
 crosswalk AS (
   SELECT * FROM (VALUES ('tall', '000001', 'Tall', 'facility'), ('wide', '000002', 'Wide', NULL), ('json', '000003', 'Json', NULL))
     t(source_key, hospital_ccn, hospital_name, assumed_billing_class)
@@ -319,11 +328,12 @@ UNION ALL SELECT 'all items', (SELECT count(*) FROM items) + n FROM documents"""
     "load_shortfall": """SELECT 'run-1' AS run_id, l_returnflag AS setting, count(*) AS n_rows,
   ' has ' || (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'R') || ' rows where its source states '
   || (SELECT count(*) FROM lineitem) AS refusal FROM lineitem GROUP BY l_returnflag""",
-    "csv_and_json_headers": """SELECT * FROM (VALUES
-  (0, 'hospital_name', 'General, "Old" Hospital'), (1, 'last_updated_on', '2025-10-01'), (2, 'version', '2.0.0'),
-  (4, 'license_number|TN', ''), (0, 'hospital_name', 'General Hospital'), (1, 'last_updated_on', '10/1/2025'),
-  (2, 'affirmation', '{"ok": true}')) t(position, header_name, header_value)
-WHERE (SELECT count(*) FROM lineitem) > 0""",
+    "csv_and_json_headers": f"""WITH {_STATING}, stated AS (
+  SELECT [(0, 'hospital_name', 'General, "Old" Hospital of ' || n_name), (1, 'last_updated_on', '2025-10-0' || stated_day),
+    (2, 'version', '2.0.0'), (4, 'license_number|TN', ''), (0, 'hospital_name', 'General Hospital of ' || n_name),
+    (1, 'last_updated_on', '10/' || stated_day || '/2025'), (2, 'affirmation', '{{"ok": true}}')] AS facts FROM stating
+)
+SELECT DISTINCT fact[1] AS position, fact[2] AS header_name, fact[3] AS header_value FROM (SELECT unnest(facts) AS fact FROM stated)""",
     "paged_json_latest_run": """SELECT c_custkey, c_name AS facility_name, round(c_acctbal, 6) AS c_acctbal,
   c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS zip_code FROM customer""",
     "paged_json_by_run_date": """SELECT c_custkey, c_name, CASE WHEN c_nationkey > 12 THEN round(c_acctbal, 6) END AS balance,

@@ -17,7 +17,7 @@ from ratescope.schemas import CROSSWALK, PRICE_ITEM
 from ratescope.sinks import tables
 from ratescope.sinks.scratch import scratch_path
 from ratescope.sources.pages import read_pages, read_seed
-from ratescope.sources.price_csv import N_LEADS, open_price_csv, price_csv_header, price_csv_headers, read_price_csv
+from ratescope.sources.price_csv import N_LEADS, open_price_csv, price_csv_headers, read_price_csv
 from ratescope.sources.price_json import open_price_json, price_json_headers, price_json_items
 from ratescope.workload import files, star
 from ratescope.workload.queries import query, rounded, stored_variation
@@ -77,7 +77,10 @@ def json_featured_rates(spark, sf_dir):
 
 @query
 def rates_from_files(spark, sf_dir):
-    """Tall, wide and JSON files of all lines, one hospital each, to statistics by payer category."""
+    """Tall, wide and JSON files of all lines, one hospital each, to statistics by payer category.
+
+    A hospital's date is the last one that any of its files states.
+    """
     codes = star.procedures(spark)
     tall_paths, wide_paths = files.tall_csv(spark, sf_dir, 4), files.wide_csv(spark, sf_dir)
     json_paths = files.price_json(spark, sf_dir)
@@ -97,8 +100,8 @@ def rates_from_files(spark, sf_dir):
         [("tall", "000001", "Tall", "facility"), ("wide", "000002", "Wide", None), ("json", "000003", "Json", " ")], CROSSWALK
     )
     headers = silver.tagged_union({
-        "tall": price_csv_header(spark, tall_paths[0]), "wide": price_csv_header(spark, wide_paths[0]),
-        "json": price_json_headers(spark, json_paths[:1]),
+        "tall": price_csv_headers(spark, tall_paths), "wide": price_csv_headers(spark, wide_paths),
+        "json": price_json_headers(spark, json_paths),
     })
     rates = star.once(spark, sf_dir, "rates-from-files", lambda: silver.negotiated_rates(
         staged, crosswalk, silver.price_file_headers(headers), star.rules(spark), CONFIG

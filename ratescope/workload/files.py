@@ -33,13 +33,22 @@ def _once(spark: SparkSession, sf_dir: str, label: str, write, depth: int = 1, s
     return _paths[key]
 
 
-def _write_files(rows: DataFrame, lead: Sequence[str], tail: Sequence[str], n_files: int, folder: str) -> None:
+def _stating(spark: SparkSession, sf_dir: str, n_files: int) -> DataFrame:
+    """file, n_name, stated_day: the nation in whose name a file is stated, and the day of the month."""
+    nations = star.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    numbered = spark.range(n_files).withColumnRenamed("id", "file")
+    return numbered.join(nations, F.col("file") % 25 == F.col("n_nationkey")).select(
+        "file", "n_name", (F.col("n_nationkey") % 9 + 1).cast("string").alias("stated_day")
+    )
+
+
+def _write_files(
+    rows: DataFrame, lead: Sequence[Column], tail: Sequence[Column], stating: DataFrame, n_files: int, folder: str
+) -> None:
     """Write text rows (value) into ``n_files`` files, each between its lead and tail lines."""
-    spark = rows.sparkSession
     around = [(i, t) for i, t in enumerate(lead)] + [(len(lead) + 1 + i, t) for i, t in enumerate(tail)]
-    framed = spark.range(n_files).select(
-        F.col("id").alias("file"),
-        F.inline(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(t).alias("value")) for i, t in around])),
+    framed = stating.select(
+        "file", F.inline(F.array(*[F.struct(F.lit(i).alias("place"), t.alias("value")) for i, t in around]))
     )
     body = rows.select(F.pmod(F.xxhash64("value"), F.lit(n_files)).alias("file"), F.lit(len(lead)).alias("place"), "value")
     (
@@ -64,10 +73,12 @@ def _header(columns: Sequence[str]) -> str:
     return ",".join('"' + c.replace('"', '""') + '"' if any(x in c for x in ',"') else c for c in columns)
 
 
-_LEAD = (
-    "\ufeffhospital_name,last_updated_on,version,,license_number|TN",
-    '"General, ""Old"" Hospital",2025-10-01,2.0.0,ignored',
-)
+def _csv_lead(columns: Sequence[str]) -> list[Column]:
+    return [
+        F.lit("\ufeffhospital_name,last_updated_on,version,,license_number|TN"),
+        F.concat(F.lit('"General, ""Old"" Hospital of '), "n_name", F.lit('",2025-10-0'), "stated_day", F.lit(",2.0.0,ignored")),
+        F.lit(_header(columns)),
+    ]
 
 
 def _rate_texts() -> tuple[Column, Column, Column]:
@@ -123,7 +134,8 @@ def tall_csv(spark: SparkSession, sf_dir: str, slots: int) -> list[str]:
             "": F.lit(None),
         }
         rows = star.joined_lines(spark, sf_dir).select(_csv_line(columns).alias("value"))
-        _write_files(rows, [*_LEAD, _header(list(columns))], [], _n_files(spark, sf_dir), folder)
+        n_files = _n_files(spark, sf_dir)
+        _write_files(rows, _csv_lead(list(columns)), [], _stating(spark, sf_dir, n_files), n_files, folder)
 
     return _once(spark, sf_dir, f"tall-{slots}", write)
 
@@ -144,7 +156,8 @@ def wide_csv(spark: SparkSession, sf_dir: str) -> list[str]:
                 for metric, value in named.items():
                     columns[f"standard_charge|{payer}|{plan}|{metric}"] = F.when(mine, value)
         rows = star.joined_lines(spark, sf_dir).select(_csv_line(columns).alias("value"))
-        _write_files(rows, [*_LEAD, _header(list(columns))], [], _n_files(spark, sf_dir), folder)
+        n_files = _n_files(spark, sf_dir)
+        _write_files(rows, _csv_lead(list(columns)), [], _stating(spark, sf_dir, n_files), n_files, folder)
 
     return _once(spark, sf_dir, "wide", write)
 
@@ -181,10 +194,14 @@ def price_json(spark: SparkSession, sf_dir: str) -> list[str]:
         ))
         rows = star.joined_lines(spark, sf_dir).select(F.concat(F.lit(","), item).alias("value"))
         lead = [
-            '{"hospital_name":"General Hospital","last_updated_on":"10/1/2025","affirmation":{"ok":true},',
-            '"standard_charge_information":[{"description":"no codes"}',
+            F.concat(
+                F.lit('{"hospital_name":"General Hospital of '), "n_name", F.lit('","last_updated_on":"10/'), "stated_day",
+                F.lit('/2025","affirmation":{"ok":true},'),
+            ),
+            F.lit('"standard_charge_information":[{"description":"no codes"}'),
         ]
-        _write_files(rows, lead, ["]}"], _n_files(spark, sf_dir), folder)
+        n_files = _n_files(spark, sf_dir)
+        _write_files(rows, lead, [F.lit("]}")], _stating(spark, sf_dir, n_files), n_files, folder)
 
     return _once(spark, sf_dir, "json", write)
 
