@@ -142,6 +142,19 @@ def vocabulary(counts: DataFrame, n_docs: int, head: int = HEAD, known: int = KN
     )
 
 
+def run_sums(rows: np.ndarray, starts: np.ndarray, long: int = 8) -> np.ndarray:
+    """Sums of the runs of rows that begin at ``starts``: a long run as a product with ones, short ones row by row side by side."""
+    n = np.diff(starts, append=len(rows))
+    out = rows[starts]
+    for i in np.flatnonzero(n >= long).tolist():
+        out[i] = np.ones(n[i], rows.dtype) @ rows[starts[i]:starts[i] + n[i]]
+    short = np.flatnonzero(n < long)
+    for place in range(1, long - 1):
+        short = short[n[short] > place]
+        out[short] += rows[starts[short] + place]
+    return out
+
+
 class Network:
     """One gated recurrent layer. Outputs: head classes, then shapes, then the end; then the word within a head class."""
 
@@ -182,23 +195,31 @@ class Network:
             setattr(self, name, values[at:at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
+    def by_gate(self, values: np.ndarray) -> np.ndarray:
+        """The last axis cut by gate, gates first, so that what belongs to a gate lies together."""
+        return np.ascontiguousarray(np.moveaxis(values.reshape(*values.shape[:-1], 3, self.hidden), -2, 0))
+
     def step(self, h: np.ndarray, given: np.ndarray) -> tuple:
         """New state and the gates it came from; ``given`` is what the inputs contribute."""
-        k = self.hidden
-        looped = h @ self.loop
-        gates = looped[:, :2 * k] + given[:, :2 * k]
+        return self.gated(h, self.by_gate(given), self.by_gate(self.loop))
+
+    @staticmethod
+    def gated(h: np.ndarray, given: np.ndarray, loop: np.ndarray) -> tuple:
+        """The same with ``given`` and ``loop`` by gate."""
+        looped = np.matmul(h, loop)
+        gates = looped[:2] + given[:2]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        reset, keep = gates[:, :k], gates[:, k:]
-        fresh = reset * looped[:, 2 * k:]
-        fresh += given[:, 2 * k:]
+        reset, keep = gates
+        fresh = reset * looped[2]
+        fresh += given[2]
         np.tanh(fresh, out=fresh)
         new = h - fresh
         new *= keep
         new += fresh
-        return new, reset, keep, fresh, looped[:, 2 * k:]
+        return new, reset, keep, fresh, looped[2]
 
     def targets(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class and place within it (-1 outside the head); tokens: head word, n_head + shape, or n_head + SHAPES for the end."""
@@ -239,21 +260,36 @@ class Network:
 
     def _log_likelihood(self, states: np.ndarray, tokens: np.ndarray, ones: np.ndarray | None) -> np.ndarray:
         which, place = self.targets(tokens)
-        logits = states @ self.to_class
-        logits += self.class_bias
-        out = self._log_share(logits, which, ones)
-        for rows, c in self._by_class(which, place):
-            out[rows] += self._log_share(states[rows] @ self.to_word[c] + self.word_bias[c], place[rows], ones)
+        order, cuts = self._by_class(which, place)
+        held = self._with_one(states, order)
+        likely = self._log_share(held @ np.concatenate([self.to_class, self.class_bias[None]]), which[order], ones)
+        inner = self._inner_logits(held, cuts)
+        likely[: len(inner)] += self._log_share(inner, place[order[: len(inner)]], ones)
+        out = np.empty_like(likely)
+        out[order] = likely
         return out
 
-    def _by_class(self, which: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-        order = np.argsort(which, kind="stable")
-        order = order[place[order] >= 0]
-        if len(order):
-            sorted_ = which[order]
-            cuts = np.flatnonzero(np.diff(sorted_)) + 1
-            for rows in np.split(order, cuts):
-                yield rows, int(which[rows[0]])
+    def _by_class(self, which: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """Rows in the order of their head class, those without a place last, and where each class begins and the last ends."""
+        kind = np.where(place >= 0, which, self.classes).astype(np.int16)
+        order = np.argsort(kind, kind="stable")
+        return order, np.searchsorted(kind[order], np.arange(self.classes + 1)).tolist()
+
+    @staticmethod
+    def _with_one(states: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """States in order, each with a one behind it that takes the bias in."""
+        held = np.ones((len(order), states.shape[1] + 1), states.dtype)
+        held[:, :-1] = states.take(order, axis=0)
+        return held
+
+    def _inner_logits(self, held: np.ndarray, cuts: list[int]) -> np.ndarray:
+        """Logits of the words within their class, for the rows that lie in a head class."""
+        words = np.concatenate([self.to_word, self.word_bias[:, None]], axis=1)
+        logits = np.empty((cuts[-1], self.width), np.result_type(held, words))
+        for c, (start, end) in enumerate(zip(cuts, cuts[1:])):
+            if start < end:
+                np.matmul(held[start:end], words[c], out=logits[start:end])
+        return logits
 
     def gradients(self, states: np.ndarray, tokens: np.ndarray, used: np.ndarray) -> tuple[dict, np.ndarray]:
         """Gradients of the outputs, and with respect to the states; ``used`` marks the rows that hold a token."""
@@ -263,22 +299,25 @@ class Network:
 
     def _gradients(self, states: np.ndarray, tokens: np.ndarray, used: np.ndarray, ones: np.ndarray | None) -> tuple[dict, np.ndarray]:
         which, place = self.targets(tokens)
-        place = np.where(used, place, -1)
+        order, cuts = self._by_class(which, np.where(used, place, -1))
         share = 1.0 / max(1, used.sum())
-        logits = states @ self.to_class
-        logits += self.class_bias
-        slope = self._miss(logits, which, ones)
-        slope *= (used * share).astype(slope.dtype)[:, None]
-        grads = {"to_class": states.T @ slope, "class_bias": slope.sum(axis=0), "to_word": np.zeros_like(self.to_word), "word_bias": np.zeros_like(self.word_bias)}
+        held = self._with_one(states, order)
+        slope = self._miss(held @ np.concatenate([self.to_class, self.class_bias[None]]), which[order], ones)
+        slope *= (used[order] * share).astype(slope.dtype)[:, None]
+        classes = held.T @ slope
         back = slope @ self.to_class.T
-        for rows, c in self._by_class(which, place):
-            held = states[rows]
-            inner = self._miss(held @ self.to_word[c] + self.word_bias[c], place[rows], ones)
-            inner *= share
-            grads["to_word"][c] = held.T @ inner
-            grads["word_bias"][c] = inner.sum(axis=0)
-            back[rows] += inner @ self.to_word[c].T
-        return grads, back
+        inner = self._inner_logits(held, cuts)
+        inner = self._miss(inner, place[order[: len(inner)]], ones)
+        inner *= share
+        words = np.zeros((self.classes, self.hidden + 1, self.width), inner.dtype)
+        for c, (start, end) in enumerate(zip(cuts, cuts[1:])):
+            if start < end:
+                np.matmul(held[start:end].T, inner[start:end], out=words[c])
+                back[start:end] += inner[start:end] @ self.to_word[c].T
+        grads = {"to_class": classes[:-1], "class_bias": classes[-1], "to_word": words[:, :-1], "word_bias": words[:, -1]}
+        placed = np.empty_like(back)
+        placed[order] = back
+        return grads, placed
 
     def window_gradients(self, h: np.ndarray, inputs: np.ndarray, tokens: np.ndarray, used: np.ndarray, fresh: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
         """Gradients of the mean loss over a window (steps x lanes), the rows of ``inputs`` they belong to, and the last state.
@@ -287,44 +326,58 @@ class Network:
         the state before it is nothing.
         """
         k, (steps, lanes) = self.hidden, inputs.shape
-        given = (self.inputs[inputs.ravel()] + self.bias).reshape(steps, lanes, 3 * k)
-        kind = given.dtype
+        flat_inputs = inputs.ravel()
+        given = self.by_gate(self.inputs + self.bias).take(flat_inputs, axis=1).reshape(3, steps, lanes, k)
+        loop, kind = self.by_gate(self.loop), given.dtype
         before, states = np.empty((steps, lanes, k), kind), np.empty((steps, lanes, k), kind)
-        reset, keep, new_part, looped = (np.empty((steps, lanes, k), kind) for _ in range(4))
+        parts = []
         begins = fresh.any(axis=1)
         for t in range(steps):
             before[t] = h
             if begins[t]:
                 before[t][fresh[t]] = 0
-            h, reset[t], keep[t], new_part[t], looped[t] = self.step(before[t], given[t])
+            h, *part = self.gated(before[t], given[:, t], loop)
             states[t] = h
+            parts.append(part)
         grads, back = self.gradients(states.reshape(-1, k), tokens.ravel(), used.ravel())
         back = back.reshape(steps, lanes, k)
-        to_keep = (before - new_part) * keep * (1 - keep)
-        to_fresh = (1 - keep) * (1 - new_part * new_part)
-        to_reset = looped * reset * (1 - reset)
-        slopes = np.empty((steps, lanes, 3 * k), kind)  # with respect to what the inputs give
-        through = np.empty((steps, lanes, 3 * k), kind)  # with respect to what the loop gives
+        slopes = np.empty((steps, 3, lanes, k), kind)  # with respect to what the inputs give
+        through = np.empty((steps, 3, lanes, k), kind)  # with respect to what the loop gives
         later = np.zeros((lanes, k), kind)
+        looped_back = loop.transpose(0, 2, 1)
         for t in range(steps - 1, -1, -1):
-            slope = back[t] + later
-            fresh_slope = slope * to_fresh[t]
-            slopes[t, :, 2 * k:] = fresh_slope
-            np.multiply(fresh_slope, to_reset[t], out=slopes[t, :, :k])
-            np.multiply(slope, to_keep[t], out=slopes[t, :, k:2 * k])
-            through[t, :, :2 * k] = slopes[t, :, :2 * k]
-            np.multiply(fresh_slope, reset[t], out=through[t, :, 2 * k:])
-            later = through[t] @ self.loop.T
-            later += slope * keep[t]
+            reset, keep, new_part, looped = parts[t]
+            to_reset, to_keep, to_fresh = slopes[t]
+            slope = back[t]
+            slope += later
+            rest = 1 - keep
+            np.multiply(new_part, new_part, out=to_fresh)
+            np.subtract(1, to_fresh, out=to_fresh)
+            to_fresh *= rest
+            to_fresh *= slope
+            np.subtract(1, reset, out=to_reset)
+            to_reset *= reset
+            to_reset *= looped
+            to_reset *= to_fresh
+            np.subtract(before[t], new_part, out=to_keep)
+            to_keep *= keep
+            to_keep *= rest
+            to_keep *= slope
+            through[t, :2] = slopes[t, :2]
+            np.multiply(to_fresh, reset, out=through[t, 2])
+            slope *= keep
+            later = np.matmul(through[t], looped_back).sum(axis=0)
+            later += slope
             if begins[t]:
                 later[fresh[t]] = 0
-        flat = slopes.reshape(-1, 3 * k)
-        order = np.argsort(inputs.ravel(), kind="stable")
-        sorted_ = inputs.ravel()[order]
+        order = np.argsort(flat_inputs.astype(np.int16), kind="stable")
+        sorted_ = flat_inputs[order]
         starts = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
+        rows = np.ascontiguousarray(slopes.transpose(0, 2, 1, 3)).reshape(-1, 3 * k).take(order, axis=0)
+        by_input = run_sums(rows, starts)
+        by_loop = np.matmul(before.transpose(0, 2, 1)[:, None], through).sum(axis=0)
         grads |= {
-            "loop": before.reshape(-1, k).T @ through.reshape(-1, 3 * k), "bias": flat.sum(axis=0),
-            "inputs": np.add.reduceat(flat[order], starts, axis=0),
+            "loop": np.moveaxis(by_loop, 0, 1).reshape(k, 3 * k), "bias": by_input.sum(axis=0), "inputs": by_input,
         }
         return grads, sorted_[starts], h
 
@@ -440,10 +493,22 @@ def _adam(values: np.ndarray, slope: np.ndarray, moments: dict, name: str, rows,
         moments[name] = (np.zeros_like(values), np.zeros_like(values))
     first, second = moments[name]
     slope = np.clip(slope, -1, 1)
-    first[rows] = 0.9 * first[rows] + 0.1 * slope
-    second[rows] = 0.98 * second[rows] + 0.02 * slope**2
+    mean, square = first[rows], second[rows]
+    mean = mean * 0.9
+    mean += 0.1 * slope
+    first[rows] = mean
+    slope *= slope
+    slope *= 0.02
+    square = square * 0.98
+    square += slope
+    second[rows] = square
     steps = moments["step"]
-    values[rows] -= rate * (first[rows] / (1 - 0.9**steps)) / (np.sqrt(second[rows] / (1 - 0.98**steps)) + 1e-6)
+    square *= 1 / (1 - 0.98**steps)
+    np.sqrt(square, out=square)
+    square += 1e-6
+    mean *= rate / (1 - 0.9**steps)
+    mean /= square
+    values[rows] -= mean
 
 
 def _number(sent):
@@ -557,18 +622,21 @@ def score_documents(network: Network, tokens: np.ndarray, lengths: np.ndarray, w
     running = Lanes(tokens, lengths, network.n_head + SHAPES, lanes)
     k = network.hidden
     h = np.zeros((running.tokens.shape[1], k), dtype=np.float32)
+    by_gate, loop = network.by_gate(network.inputs + network.bias), network.by_gate(network.loop)
     for n, inputs, wanted, owners, fresh in running.windows(window):
-        given = (network.inputs[inputs.ravel()] + network.bias).reshape(len(inputs), n, 3 * k)
+        given = by_gate.take(inputs.ravel(), axis=1).reshape(3, len(inputs), n, k)
         states = np.empty((len(inputs), n, k), np.float32)
         begins = fresh.any(axis=1)
         h = h[:n]
         for t in range(len(inputs)):
             if begins[t]:
                 h = np.where(fresh[t][:, None], np.float32(0), h)
-            h = states[t] = network.step(h, given[t])[0]
-        used = owners.ravel() >= 0
-        likely = network.log_likelihood(states.reshape(-1, k)[used], wanted.ravel()[used])
-        out += np.bincount(owners.ravel()[used], likely, minlength=len(out))
+            h = states[t] = network.gated(h, given[:, t], loop)[0]
+        states, wanted, owners = states.reshape(-1, k), wanted.ravel(), owners.ravel()
+        used = owners >= 0
+        if not used.all():
+            states, wanted, owners = states[used], wanted[used], owners[used]
+        out += np.bincount(owners, network.log_likelihood(states, wanted), minlength=len(out))
     return out
 
 
