@@ -21,7 +21,7 @@ from ratescope.functions import (
 )
 from ratescope.operators.lookups import broadcast_if_small
 from ratescope.operators.latest import latest_per_key
-from ratescope.operators.payers import payer_plan_names, with_payer_category
+from ratescope.operators.payers import category_of_each_row, payer_plan_names, with_payer_category
 from ratescope.operators.reshape import pivot_headers
 
 
@@ -45,7 +45,7 @@ def price_file_headers(headers: DataFrame) -> DataFrame:
 
 def payer_categories(staged: DataFrame, rules: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """One row per payer/plan name with its category."""
-    return with_payer_category(payer_plan_names(staged), rules, cfg)
+    return category_of_each_row(payer_plan_names(staged), rules.select("priority", "pattern", "category").collect())
 
 
 def cms_hospitals(general: DataFrame) -> DataFrame:
@@ -121,11 +121,12 @@ def negotiated_rates(
 ) -> DataFrame:
     """The silver rate table: exact repeats removed, hospital, file date and payer category added.
 
-    The distinct is the only shuffle of the rates. Categories are an expression on the names and the
-    hospital and header tables have one row per file and are broadcast after a count.
+    The distinct is the only shuffle of the rates. Categories belong to the names, which are read from the staged rates
+    as two columns and matched once each; the hospital and header tables have one row per file. All are broadcast after a
+    count.
     """
-    rates = reduce(DataFrame.unionByName, staged).distinct()
-    rates = with_payer_category(rates, rules, cfg)
+    stated = reduce(DataFrame.unionByName, staged)
+    rates = with_payer_category(stated.distinct(), rules, cfg, names=stated)
     hospital = crosswalk.select("source_key", "hospital_ccn", "hospital_name", "assumed_billing_class")
     dates = headers.select("source_key", F.col("last_updated_on").alias("file_last_updated_on"))
     joined = rates.join(broadcast_if_small(hospital, cfg.max_broadcast_rows), "source_key").join(

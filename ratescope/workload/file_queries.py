@@ -15,7 +15,7 @@ from ratescope.plans import build, gold, manifest, quality, silver, staging
 from ratescope.plans.build import Schemas
 from ratescope.schemas import CROSSWALK, PRICE_ITEM
 from ratescope.sinks import tables
-from ratescope.sinks.scratch import scratch_path
+from ratescope.sinks.scratch import scratch_path, write_stage
 from ratescope.sources.pages import read_pages, read_seed
 from ratescope.sources.price_csv import N_LEADS, open_price_csv, price_csv_headers, read_price_csv
 from ratescope.sources.price_json import open_price_json, price_json_headers, price_json_items
@@ -86,7 +86,8 @@ def rates_from_files(spark, sf_dir):
     json_paths = files.price_json(spark, sf_dir)
 
     def as_one_file(bronze: DataFrame, name: str) -> DataFrame:
-        return _with_run(bronze).withColumn("_source_file", F.lit(name))
+        """Rows as a load writes them: the names and the rates are read from the table, not from the files again."""
+        return write_stage(_with_run(bronze).withColumn("_source_file", F.lit(name)), "bronze-rates")
 
     tall = as_one_file(read_price_csv(spark, tall_paths)[1], "tall.csv")
     wide = as_one_file(read_price_csv(spark, wide_paths)[1], "wide.csv")

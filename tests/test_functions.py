@@ -75,6 +75,25 @@ def test_payer_categories(spark, inline):
     assert got.count() == len(rows)
 
 
+def test_few_names_are_matched_once_each(spark):
+    """Up to the bound no regular expression is left in the plan of the rows; beyond it, rows are matched without a join."""
+    df = spark.range(3_000).selectExpr(
+        "id", "case when id % 3 = 0 then 'Acme' when id % 3 = 1 then 'Blue' end as payer_name", "if(id % 2 = 0, 'Gold', null) as plan_name"
+    )
+    rules = spark.createDataFrame([(1, "acme", "a"), (2, "gold", "g")], "priority int, pattern string, category string")
+    few = with_payer_category(df, rules, PipelineConfig())
+    many = with_payer_category(df, rules, PipelineConfig(max_broadcast_rows=5))
+    joined = with_payer_category(df, rules, PipelineConfig(max_broadcast_rows=5, max_inline_rows=1))
+    elsewhere = with_payer_category(df, rules, PipelineConfig(), names=df.union(df.limit(3)))
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (few, many, joined)]
+    assert ["RLIKE" in p for p in plans] == [False, True, False]
+    assert ["Join" in p for p in plans] == [True, False, True]
+    rows = sorted(map(tuple, few.collect()), key=lambda r: r[0])
+    assert len(rows) == 3_000 and {r[3] for r in rows} == {"a", "g", "commercial"}
+    for other in (many, joined, elsewhere):
+        assert sorted(map(tuple, other.collect()), key=lambda r: r[0]) == rows
+
+
 def test_latest_keeps_one_row_and_puts_nulls_last(spark):
     rows = [("a", None, "9", "x"), ("a", "01/01/2024", "1", "y"), ("b", None, None, "z"), ("a", "01/01/2024", "2", "w")]
     df = spark.createDataFrame(rows, "k string, e string, s string, v string")
