@@ -2,9 +2,8 @@
 
 A signature is sorted in several orders, one per tree: tree t starts at its own part of the signature. In a sorted order
 documents with long common prefixes are neighbours, whatever depth it takes to tell them apart from the rest of their
-region, so there is no fixed bucket and no bucket can grow too large. Trees are range-partitioned by their order, and a
-streaming pass over each partition names the neighbours. Rows of a tree that share their first values, as many as
-``least_depth`` says, are a region. Two documents at the threshold share a region in some tree with a probability of
+region. Trees are range-partitioned by their order, and a streaming pass over each partition names the neighbours. Rows of
+a tree that share their first values, as many as ``least_depth`` says, are a region; that depth is the same for all. Two documents at the threshold share a region in some tree with a probability of
 1 - 2.5e-7 at least.
 
 Documents with the same set of shingles are one member for the forest. A first round joins each member's closest
