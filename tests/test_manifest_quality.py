@@ -192,3 +192,10 @@ def test_checks_of_a_table_share_its_scans(spark, tmp_path):
     assert {(r["check_name"], r["status"], r["n_bad"]) for r in with_parent} == {("relationships k", "fail", 1), ("unique v", "fail", 1)}
     empty = quality.table_checks(df.where("false"), "t", *checks).collect()
     assert len(empty) == 9 and all(r["status"] == "pass" for r in empty)
+
+
+def test_small_files_are_hashed_several_a_task(spark, tmp_path):
+    paths = [fx.write(tmp_path, f"{i}.csv", f"hospital_name\n{i}\n") for i in range(40)]
+    facts = quality.file_facts(spark, paths)
+    assert facts.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert {r["length"] for r in facts.collect()} == {16, 17} and facts.select("sha256").distinct().count() == 40

@@ -9,6 +9,7 @@ from ratescope.schemas import STAGED_RATE_COLUMNS
 from ratescope.sources.pages import default_procedure_codes
 from ratescope.sources.price_csv import read_price_csv
 from ratescope.sources.price_json import price_json_items
+from ratescope.workload import files
 from tests import fixtures as fx
 
 CFG = PipelineConfig()
@@ -78,3 +79,21 @@ def test_wide_names():
 def test_no_payer_columns_give_one_null_row(spark):
     long = unpivot_payers(spark.createDataFrame([("x",)], "description string"))
     assert [tuple(r) for r in long.collect()] == [("x", None, None, None, None, None, None)]
+
+
+def test_a_wide_line_is_what_its_cells_make(spark):
+    """One filled set between commas is the line of all cells, for rows that fit a set and rows that fit none."""
+    line = dict(
+        l_linenumber=1, l_extendedprice=10.5, l_discount=0.05, l_tax=0.02, l_returnflag="R", l_linestatus="O",
+        p_name='a "b", c', p_brand="x", p_type="SMALL", p_size=4,
+    )
+    rows = spark.createDataFrame([
+        line | {"l_quantity": q, "c_custkey": key, "c_mktsegment": segment}
+        for q in (1.0, 2.0, 3.0, 4.0, 7.0) for key in (7, 9, -3, None) for segment in (*files.SEGMENTS, "OTHER", None)
+    ], "l_linenumber int, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+       "p_name string, p_brand string, p_type string, p_size int, l_quantity double, c_custkey bigint, c_mktsegment string")
+    items, groups = {"description": F.col("p_name")}, files._wide_groups()
+    mine = lambda segment, k, cell: F.when((F.col("c_mktsegment") == segment) & (F.col("c_custkey") % 7 == k), cell)
+    whole = items | {name: mine(segment, k, cell) for segment, k, cells in groups for name, cell in cells.items()}
+    made = rows.select(files._csv_line(whole).alias("whole"), files._wide_line(items, groups).alias("line"))
+    assert [r["line"] for r in made.collect()] == [r["whole"] for r in made.collect()]
