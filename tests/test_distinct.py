@@ -1,11 +1,14 @@
 """Distinct rows in bounded tasks: the rows of Spark's distinct, whatever repeats."""
 
 import math
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratescope.operators.distinct import distinct_rows
-from ratescope.sinks.scratch import write_stage
+from ratescope.sinks import scratch
+from ratescope.sinks.scratch import write_portions, write_stage
 from ratescope.workload import star
 
 
@@ -24,6 +27,36 @@ def test_same_rows_as_distinct(spark):
     assert told(distinct_rows(df, 100)) == told(distinct_rows(df)) == told(df.distinct())
 
 
+def _shuffled(spark) -> set[str]:
+    """Shuffle files on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+@pytest.mark.parametrize("rows_at_once", [10, 1_000, 100_000])
+def test_same_rows_in_portions(spark, rows_at_once):
+    df = _table(spark)
+    told = lambda rows: sorted(map(repr, rows.collect()))
+    assert told(distinct_rows(df, 100, rows_at_once)) == told(df.distinct())
+
+
+def test_portions_leave_no_shuffle_files(spark):
+    """A portion's shuffle is gone once it is stored; what a large table was made of, too."""
+    df = _table(spark)
+    counts = df.groupBy("a").count().repartition(3)
+    before = _shuffled(spark)
+    write_portions([df.where(F.col("a") % 2 == k).repartition(5, "a").distinct() for k in range(2)], "test-portions")
+    stored = write_stage(counts, "test-counts", drop_shuffles=True)
+    for _ in range(50):
+        if not (left := _shuffled(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(scratch._CLEANUP, None) is None
+    assert stored.count() == 1_001
+    df.groupBy("a").count().write.format("noop").mode("overwrite").save()
+    assert _shuffled(spark) - before
+
+
 def test_tasks_hold_few_rows(spark):
     """Whole rows are compared behind the one shuffle, in tasks of bounded size; only the crowding row is combined before."""
     rows = distinct_rows(_table(spark), 100)
